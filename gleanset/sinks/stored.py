@@ -6,12 +6,15 @@ failed job leaves no half run behind, and a repeated run replaces itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanset.functions.values import epoch_text
-from gleanset.schemas import LABEL_COLUMNS, REVIEW_COLUMNS, SOURCE_COLUMNS, stored_schema
+from gleanset.schemas import CSV_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS, SOURCE_COLUMNS, stored_schema
 from gleanset.sources.stored import backend_choice, backend_columns, line_style, snapshot_read
 
 ROWS_PER_FILE = 1_000_000
@@ -59,6 +62,21 @@ def grid_append(rows: DataFrame) -> DataFrame:
     return rows.select(*[_as_text(rows, c) for c in SOURCE_COLUMNS], *blanks)
 
 
+def _quoted_lines(rows: DataFrame) -> DataFrame:
+    quoted = [
+        F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+        for c in rows.columns
+    ]
+    return rows.select(F.concat_ws(",", *quoted).alias("value"))
+
+
+def _with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every part file starts with the header."""
+    header = ",".join(f'"{c}"' for c in CSV_COLUMNS)
+    yield pa.RecordBatch.from_pydict({"value": [header]})
+    yield from batches
+
+
 def _write_run(
     rows: DataFrame,
     path: str,
@@ -71,10 +89,14 @@ def _write_run(
         raise ValueError("rows per file must be at least 1")
     writer = rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     target = f"{path}/run={run}"
-    if backend_choice(backend) == "csv":
-        writer.options(**CSV_WRITE_OPTIONS).option("lineSep", line_end).csv(target)
-    else:
+    if backend_choice(backend) == "sheets":
         writer.parquet(target)
+    elif line_end == "\n":
+        writer.options(**CSV_WRITE_OPTIONS).csv(target)
+    else:
+        # The CSV writer would turn line feeds inside bodies into this line end too.
+        lines = _quoted_lines(rows).mapInArrow(_with_header, "value string")
+        lines.write.mode("overwrite").option("lineSep", line_end).text(target)
 
 
 def create_store(
