@@ -71,10 +71,14 @@ def _quoted_lines(rows: DataFrame) -> DataFrame:
 
 
 def _with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every part file starts with the header."""
+    """Every part file with rows starts with the header."""
     header = ",".join(f'"{c}"' for c in CSV_COLUMNS)
-    yield pa.RecordBatch.from_pydict({"value": [header]})
-    yield from batches
+    head = None
+    for batch in batches:
+        if head is None:
+            head = pa.RecordBatch.from_pylist([{"value": header}], schema=batch.schema)
+            yield head
+        yield batch
 
 
 def _write_run(
