@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,24 +35,32 @@ def incremental_append(
     """Append the new rows of a stream of posts to a store, then stop when it is drained.
 
     A micro-batch replayed after a failure is judged against the store without
-    its own files and replaces them, so it is appended exactly once.
+    its own files and replaces them, so it is appended exactly once.  Runs carry
+    the query's id, which lives as long as its checkpoint: a query started
+    afresh never touches the runs of an earlier one.
     """
+    started = threading.Event()
+    query_id: list[str] = []
 
     def append(batch: DataFrame, number: int) -> None:
-        run = f"stream-{number}"
+        started.wait()
+        run = f"{query_id[0]}-{number}"
         stored = snapshot_read(batch.sparkSession, store, backend, except_run=run)
         carried = [f"_{i}" for i in range(len(order))]
         ordered = batch.withColumns({c: F.col(o) for c, o in zip(carried, order, strict=True)})
         fresh = ordered_dedup(clean_posts(ordered, *carried), stored, carried)
         verified_append(fresh.drop(*carried), store, run, backend)
 
-    return (
+    query = (
         posts.writeStream.queryName(writer_name(store))
         .option("checkpointLocation", checkpoint)
         .foreachBatch(append)
         .trigger(availableNow=True)
         .start()
     )
+    query_id.append(str(query.id))
+    started.set()
+    return query
 
 
 def _tick(at: Column, cadence: int, offset: int, up: bool) -> Column:
