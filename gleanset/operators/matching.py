@@ -59,13 +59,13 @@ def batch_cross(
 ) -> DataFrame:
     """One row per post and batch with a term of the batch and any tool in the post.
 
-    The batch numbers are worked out per post in one pass over its text, so no
-    join of posts and batches takes place.
+    The batch numbers are worked out per post where its text is read, so no join
+    of posts and batches takes place; batches are tested only where a tool is found.
     """
     text = search_text()
     hits = matching_batches(text, batches, case_sensitive, whole_word)
-    with_tool = posts.where(any_term(text, tools, case_sensitive, whole_word))
-    return with_tool.withColumn("batch", F.explode(hits))
+    with_tool = F.when(any_term(text, tools, case_sensitive, whole_word), hits)
+    return posts.withColumn("batch", F.explode(with_tool))
 
 
 def term_counts(

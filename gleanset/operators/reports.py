@@ -28,7 +28,8 @@ def coverage_report(ranked: DataFrame, n_groups: int) -> DataFrame:
         *_bounds(None, "raw"),
         *_bounds(F.col("exact"), "exact"),
     )
-    groups = ranked.sparkSession.range(1, n_groups + 1).select(F.col("id").cast("int").alias("batch"))
+    numbers = ranked.sparkSession.range(1, n_groups + 1)
+    groups = numbers.select(F.col("id").cast("int").alias("batch"))
     full = groups.join(per_group, "batch", "left").withColumns(
         {"raw": F.coalesce("raw", F.lit(0)), "exact": F.coalesce("exact", F.lit(0))}
     )

@@ -93,9 +93,8 @@ def ranked_candidates(
 def first_seen(rows: DataFrame, order: Sequence[str] = ("batch", "rank")) -> DataFrame:
     """First row of every id in the given order; apply after the filters."""
     by_id = Window.partitionBy("post_id").orderBy(*order)
-    return (
-        rows.withColumn("_seen", F.row_number().over(by_id)).where(F.col("_seen") == 1).drop("_seen")
-    )
+    numbered = rows.withColumn("_seen", F.row_number().over(by_id))
+    return numbered.where(F.col("_seen") == 1).drop("_seen")
 
 
 def global_candidates(
@@ -172,7 +171,8 @@ def batch_funnel(found: DataFrame, n_batches: int) -> DataFrame:
         F.count_if("within").alias("within_lookback"),
         F.count_if("new").alias("new_exact"),
     )
-    batches = found.sparkSession.range(1, n_batches + 1).select(F.col("id").cast("int").alias("batch"))
+    numbers = found.sparkSession.range(1, n_batches + 1)
+    batches = numbers.select(F.col("id").cast("int").alias("batch"))
     names = ["raw", "within_lookback", "new_exact"]
     return batches.join(counts, "batch", "left").select(
         "batch", *[F.coalesce(n, F.lit(0)).alias(n) for n in names]

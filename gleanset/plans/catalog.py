@@ -66,13 +66,16 @@ def settings(**changes) -> R.RunSettings:
 
 
 def streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return R.collect_streams(D.posts(spark, sf), settings(), D.clock(spark, sf))
+    """Both streams over all posts; the search result is bounded and computed once."""
+    posts = D.posts(spark, sf, matching=True)
+    curated, searched = R.collect_streams(posts, settings(), D.clock(spark, sf))
+    return curated, durable(searched)
 
 
 def recent_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates of the last day, found also inside words, so that the exact check bites."""
     now = D.clock(spark, sf)
-    posts = D.posts(spark, sf, since=C.cutoff_epoch(now, 24))
+    posts = D.posts(spark, sf, since=C.cutoff_epoch(now, 24), matching=True)
     return search.global_candidates(
         posts,
         D.TEST_PAINS,
@@ -87,7 +90,7 @@ def recent_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 def coverage_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return search.ranked_candidates(
-        D.posts(spark, sf),
+        D.posts(spark, sf, matching=True),
         D.TEST_GROUPS,
         D.TEST_TOOLS,
         all_pains=D.TEST_PAINS,
@@ -127,7 +130,7 @@ def source_skip(spark, sf):
 def global_search(spark, sf):
     now = D.clock(spark, sf)
     found = search.global_search(
-        D.posts(spark, sf, since=C.cutoff_epoch(now, 24)),
+        D.posts(spark, sf, since=C.cutoff_epoch(now, 24), matching=True),
         D.TEST_PAINS,
         D.TEST_TOOLS,
         6,
@@ -262,7 +265,7 @@ def dry_run(spark, sf):
     path = _store(spark, sf, "sheets")
     outcome = R.run_batch(
         spark,
-        D.posts(spark, sf),
+        D.posts(spark, sf, matching=True),
         path,
         "one",
         settings(),
@@ -322,7 +325,7 @@ def numeric_cast(spark, sf):
 
 @query
 def drop_transient(spark, sf):
-    matched = matching.matched_posts(D.posts(spark, sf), D.TEST_PAINS, D.TEST_TOOLS)
+    matched = matching.matched_posts(D.posts(spark, sf, matching=True), D.TEST_PAINS, D.TEST_TOOLS)
     return cleaning.clean_posts(matched)
 
 
@@ -349,12 +352,13 @@ def allow_list(spark, sf):
 
 @query
 def any_and_any(spark, sf):
-    return matching.any_and_any(D.posts(spark, sf), D.TEST_PAINS, D.TEST_TOOLS).select("post_id")
+    posts = D.posts(spark, sf, matching=True)
+    return matching.any_and_any(posts, D.TEST_PAINS, D.TEST_TOOLS).select("post_id")
 
 
 @query
 def stream_select(spark, sf):
-    posts, now = D.posts(spark, sf), D.clock(spark, sf)
+    posts, now = D.posts(spark, sf, matching=True), D.clock(spark, sf)
     parts = []
     for mode, chosen in (
         ("both", settings()),
@@ -400,14 +404,14 @@ def semi_allow(spark, sf):
 @query
 def batch_cross(spark, sf):
     batches = [list(D.TEST_PAINS[i : i + BATCH]) for i in range(0, len(D.TEST_PAINS), BATCH)]
-    return matching.batch_cross(D.posts(spark, sf), batches, D.TEST_TOOLS).select(
+    return matching.batch_cross(D.posts(spark, sf, matching=True), batches, D.TEST_TOOLS).select(
         "post_id", "batch"
     )
 
 
 @query
 def provenance(spark, sf):
-    curated, searched = (durable(f) for f in streams(spark, sf))
+    curated, searched = streams(spark, sf)
     fresh = durable(R.new_rows(sets.stream_union(curated, searched), stored_rows(spark, sf)))
     return reports.provenance(fresh, curated, searched).select(
         "id", "source", bars("matched_pain_keywords"), bars("matched_tools")
@@ -431,7 +435,13 @@ def funnel_total(spark, sf):
 def run_result(spark, sf):
     path = _store(spark, sf, "sheets")
     outcome = R.run_batch(
-        spark, D.posts(spark, sf), path, "one", settings(), D.clock(spark, sf), backend="sheets"
+        spark,
+        D.posts(spark, sf, matching=True),
+        path,
+        "one",
+        settings(),
+        D.clock(spark, sf),
+        backend="sheets",
     )
     return outcome.result
 
@@ -455,7 +465,7 @@ def coverage_total(spark, sf):
 
 @query
 def cooccurrence(spark, sf):
-    return reports.cooccurrence(D.posts(spark, sf), "er", "la")
+    return reports.cooccurrence(D.posts(spark, sf, matching=True), "er", "la")
 
 
 @query
@@ -545,7 +555,7 @@ def source_order(spark, sf):
 
 @query
 def limit_report(spark, sf):
-    matched = matching.any_and_any(D.posts(spark, sf), D.TEST_PAINS, D.TEST_TOOLS)
+    matched = matching.any_and_any(D.posts(spark, sf, matching=True), D.TEST_PAINS, D.TEST_TOOLS)
     newest = reports.limit_report(matched, 20)
     listed = matching.matched_arrays(newest, D.TEST_PAINS, D.TEST_TOOLS)
     return listed.select(
@@ -568,7 +578,7 @@ def stream_union(spark, sf):
 @query
 def vocab_partition_check(spark, sf):
     """Matched terms of all posts against the same over groups with one term doubled, one lost."""
-    posts = D.posts(spark, sf)
+    posts = D.posts(spark, sf, matching=True)
     text = X.search_text()
     uneven = [t for g in D.TEST_GROUPS for t in g if t != "thon"] + ["er"]
     wanted = posts.select(F.explode(X.find_matches(text, D.TEST_PAINS)).alias("term"))
@@ -582,7 +592,7 @@ def vocab_partition_check(spark, sf):
 @query
 def search_text(spark, sf):
     text = X.search_text()
-    return D.posts(spark, sf).select(
+    return D.posts(spark, sf, matching=True).select(
         "post_id", F.md5(text).alias("text_md5"), F.length(text).cast("bigint").alias("n_chars")
     )
 
@@ -590,7 +600,7 @@ def search_text(spark, sf):
 @query
 def term_matches(spark, sf):
     text = X.search_text()
-    return D.posts(spark, sf).select(
+    return D.posts(spark, sf, matching=True).select(
         "post_id",
         X.term_matches(text, "er").alias("has_er"),
         X.term_matches(text, "La", case_sensitive=True).alias("has_la_cased"),
@@ -602,7 +612,7 @@ def term_matches(spark, sf):
 @query
 def find_matches(spark, sf):
     terms = [*D.TEST_PAINS, "er"]
-    return D.posts(spark, sf).select(
+    return D.posts(spark, sf, matching=True).select(
         "post_id", F.array_join(X.find_matches(X.search_text(), terms), "|").alias("found")
     )
 
@@ -610,7 +620,7 @@ def find_matches(spark, sf):
 @query
 def find_matches_pages(spark, sf):
     """Long texts full of markup."""
-    pages = D.table(spark, sf, "pages")
+    pages = D.texts(spark, sf, "pages")
     terms = [*D.TEST_TOOLS, "utf-8", "div", "</p>"]
     found = X.find_matches(F.col("html"), terms)
     return pages.select("page_id", F.array_join(found, "|").alias("found"))
@@ -619,7 +629,7 @@ def find_matches_pages(spark, sf):
 @query
 def matched_arrays(spark, sf):
     """Conversation turns as a second source of texts."""
-    turns = D.table(spark, sf, "conversations").withColumn("title", F.col("role"))
+    turns = D.texts(spark, sf, "conversations").withColumn("title", F.col("role"))
     matched = matching.matched_posts(turns, D.TEST_PAINS, D.TEST_TOOLS)
     return matched.select("conv_id", "turn", bars("matched_pain_keywords"), bars("matched_tools"))
 
@@ -629,7 +639,7 @@ def term_batches(spark, sf):
     """Vocabulary with batch numbers, and the posts that hold each term."""
     from gleanset.vocabulary import vocabulary_frame
 
-    counts = matching.term_counts(D.posts(spark, sf), list(D.TEST_PAINS))
+    counts = matching.term_counts(D.posts(spark, sf, matching=True), list(D.TEST_PAINS))
     batches = vocabulary_frame(spark, D.TEST_PAINS, [], BATCH)
     return counts.join(F.broadcast(batches.select("ord", "batch")), "ord").select(
         "ord", "term", "batch", "n_posts"
@@ -642,7 +652,7 @@ def nonblank_terms(spark, sf):
     from gleanset.vocabulary import nonblank_terms, vocabulary_frame
 
     spaced = [t for p in D.TEST_PAINS for t in (p, "")]
-    counts = matching.term_counts(D.posts(spark, sf), nonblank_terms(spaced))
+    counts = matching.term_counts(D.posts(spark, sf, matching=True), nonblank_terms(spaced))
     batches = vocabulary_frame(spark, spaced, [], 3)
     return counts.join(F.broadcast(batches.select("ord", "batch")), "ord").select(
         "ord", "term", "batch", "n_posts"
@@ -676,7 +686,7 @@ def window_hours(spark, sf):
 def percent(spark, sf):
     hit = X.any_term(X.search_text(), D.TEST_TOOLS)
     share = N.percent(F.count_if(hit), F.count(F.lit(1))).alias("tool_pct")
-    return D.posts(spark, sf).groupBy("subreddit").agg(share)
+    return D.posts(spark, sf, matching=True).groupBy("subreddit").agg(share)
 
 
 @query

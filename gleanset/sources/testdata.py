@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanset.plans.parallel import spread
 from gleanset.sources.raw import raw_flatten
 
 # Terms that do occur in the test tables.
@@ -20,8 +21,27 @@ TEST_GROUPS = (("it is", "was the"), ("for the", "in the", "of the"), ("thon",),
 TEST_COMMUNITIES = tuple(f"SRC{i}" for i in range(0, 24, 2))
 
 
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+# The key that spreads a table of long texts.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores when its files give too few tasks."""
+    return spread(table(spark, sf_dir, name), TEXT_KEYS[name])
 
 
 def micros(ts: Column) -> Column:
@@ -29,8 +49,17 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
 
 
-def submissions(spark: SparkSession, sf_dir: str, since: float | None = None) -> DataFrame:
-    """Nested submissions; ``since`` bounds their time in the scan of ``events``."""
+def submissions(
+    spark: SparkSession,
+    sf_dir: str,
+    since: float | None = None,
+    matching: bool = False,
+) -> DataFrame:
+    """Nested submissions; ``since`` bounds their time in the scan of ``events``.
+
+    ``matching`` readies their texts for patterns: see :func:`texts`.
+    """
+    documents = (texts if matching else table)(spark, sf_dir, "documents")
     events = table(spark, sf_dir, "events")
     if since is not None:
         at = datetime.fromtimestamp(since, timezone.utc).replace(tzinfo=None)
@@ -43,7 +72,7 @@ def submissions(spark: SparkSession, sf_dir: str, since: float | None = None) ->
         "value",
         "props",
     )
-    return posts_of(table(spark, sf_dir, "documents").join(events, "doc_id"))
+    return posts_of(documents.join(events, "doc_id"))
 
 
 def posts_of(joined: DataFrame) -> DataFrame:
@@ -68,8 +97,13 @@ def posts_of(joined: DataFrame) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, sf_dir: str, since: float | None = None) -> DataFrame:
-    return raw_flatten(submissions(spark, sf_dir, since))
+def posts(
+    spark: SparkSession,
+    sf_dir: str,
+    since: float | None = None,
+    matching: bool = False,
+) -> DataFrame:
+    return raw_flatten(submissions(spark, sf_dir, since, matching))
 
 
 def clock(spark: SparkSession, sf_dir: str) -> datetime:
