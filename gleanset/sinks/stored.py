@@ -1,11 +1,12 @@
 """Appending to the stored dataset.
 
-Every append is one run folder written whole: nothing stored is rewritten, a
-failed job leaves no half run behind, and a repeated run replaces itself.
+Every append is one run folder written whole: nothing stored is rewritten, and a
+repeated run replaces itself, whatever a failed try has left.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,10 +16,15 @@ from pyspark.sql import types as T
 
 from gleanset.functions.values import epoch_text
 from gleanset.schemas import CSV_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS, SOURCE_COLUMNS, stored_schema
-from gleanset.sources.stored import backend_choice, backend_columns, line_style, snapshot_read
+from gleanset.sources.stored import (
+    FIRST_RUN,
+    backend_choice,
+    backend_columns,
+    line_style,
+    snapshot_read,
+)
 
 ROWS_PER_FILE = 1_000_000
-FIRST_RUN = "start"
 
 CSV_WRITE_OPTIONS = {
     "header": True,
@@ -81,6 +87,13 @@ def _with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
+def check_run(run: str) -> str:
+    """A run's name is a folder name, and never that of the first run."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run) or run == FIRST_RUN:
+        raise ValueError(f"no name for a run: {run!r}")
+    return run
+
+
 def _write_run(
     rows: DataFrame,
     path: str,
@@ -88,10 +101,11 @@ def _write_run(
     run: str,
     rows_per_file: int,
     line_end: str,
+    mode: str = "overwrite",
 ) -> None:
     if rows_per_file < 1:
         raise ValueError("rows per file must be at least 1")
-    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    writer = rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     target = f"{path}/run={run}"
     if backend_choice(backend) == "sheets":
         writer.parquet(target)
@@ -100,7 +114,7 @@ def _write_run(
     else:
         # The CSV writer would turn line feeds inside bodies into this line end too.
         lines = _quoted_lines(rows).mapInArrow(_with_header, "value string")
-        lines.write.mode("overwrite").option("lineSep", line_end).text(target)
+        lines.write.mode(mode).option("lineSep", line_end).text(target)
 
 
 def create_store(
@@ -110,12 +124,12 @@ def create_store(
     rows: DataFrame | None = None,
     line_end: str = "\n",
 ) -> None:
-    """Start a store with its schema, and with rows when given."""
+    """Start a store with its schema, and with rows when given; an existing store is an error."""
     if rows is None:
         ready = spark.createDataFrame([], stored_schema(backend_columns(backend)))
     else:
         ready = csv_rows(rows) if backend_choice(backend) == "csv" else grid_append(rows)
-    _write_run(ready, path, backend, FIRST_RUN, ROWS_PER_FILE, line_end)
+    _write_run(ready, path, backend, FIRST_RUN, ROWS_PER_FILE, line_end, mode="error")
 
 
 def csv_append(
@@ -126,7 +140,8 @@ def csv_append(
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Add rows to a CSV store as one run, with the line ends the store uses."""
-    line_end = line_style(rows.sparkSession, path)
+    check_run(run)
+    line_end = line_style(rows.sparkSession, f"{path}/run={FIRST_RUN}")
     _write_run(csv_rows(rows), path, "csv", run, rows_per_file, line_end)
 
 
@@ -143,6 +158,7 @@ def verified_append(
     Raises when the files hold another number of rows than was written.  Without
     rows nothing is written at all.
     """
+    check_run(run)
     if rows_per_file < 1:
         raise ValueError("rows per file must be at least 1")
     spark = rows.sparkSession
@@ -150,7 +166,7 @@ def verified_append(
         return 0
     written = Observation()
     if backend_choice(backend) == "csv":
-        line_end = line_style(spark, path)
+        line_end = line_style(spark, f"{path}/run={FIRST_RUN}")
         ready = csv_rows(rows)
     else:
         line_end = "\n"

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from gleanset.schemas import CSV_COLUMNS, GRID_COLUMNS, stored_schema
 
 BACKENDS = ("csv", "sheets")
+FIRST_RUN = "start"
 
 # Quotes are doubled, bodies keep their blanks and line ends, empty is empty.
 CSV_OPTIONS = {
@@ -113,7 +114,7 @@ def snapshot_read(
     columns = backend_columns(backend)
     schema = stored_schema(columns).add(T.StructField("run", T.StringType()))
     if backend_choice(backend) == "csv":
-        line = _first_line(spark, path)
+        line = _first_line(spark, f"{path}/run={FIRST_RUN}")
         _check_header(line, columns)
         line_end = "\r\n" if line.endswith("\r") else "\n"
         reader = spark.read.options(**CSV_OPTIONS).option("lineSep", line_end)

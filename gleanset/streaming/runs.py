@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanset.operators.cleaning import clean_posts
 from gleanset.operators.dedup import ordered_dedup
+from gleanset.plans.durable import durable
 from gleanset.sinks.stored import verified_append
 from gleanset.sources.stored import snapshot_read
 
@@ -48,7 +49,9 @@ def incremental_append(
         stored = snapshot_read(batch.sparkSession, store, backend, except_run=run)
         carried = [f"_{i}" for i in range(len(order))]
         ordered = batch.withColumns({c: F.col(o) for c, o in zip(carried, order, strict=True)})
-        fresh = ordered_dedup(clean_posts(ordered, *carried), stored, carried)
+        # Read once: a second read of a micro-batch would run its source and state again.
+        cleaned = durable(clean_posts(ordered, *carried))
+        fresh = ordered_dedup(cleaned, stored, carried)
         verified_append(fresh.drop(*carried), store, run, backend)
 
     query = (

@@ -166,6 +166,16 @@ def test_verified_append(spark, tmp_path, backend):
         sink.verified_append(rows, store, "three", backend, rows_per_file=0)
 
 
+def test_store_is_made_once_and_runs_need_names(spark, tmp_path):
+    store = str(tmp_path / "store")
+    sink.create_store(spark, store, "sheets")
+    with pytest.raises(Exception, match="exist"):
+        sink.create_store(spark, store, "sheets")
+    for name in ("", "a/b", "a=b", sink.FIRST_RUN):
+        with pytest.raises(ValueError):
+            sink.verified_append(clean_rows(spark), store, name, "sheets")
+
+
 def test_append_that_does_not_add_up_fails(spark, tmp_path, monkeypatch):
     store = str(tmp_path / "store")
     sink.create_store(spark, store, "sheets")
