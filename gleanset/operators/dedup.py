@@ -47,25 +47,39 @@ def text_key(column: str = "selftext") -> Column:
     return F.when(value != "", body_digest(value))
 
 
+def stored_keys(stored: DataFrame) -> DataFrame:
+    """Both keys of stored rows, null where blank; frames that hold the keys pass as they are."""
+    if {"id_key", "text_key"} <= set(stored.columns):
+        return stored.select("id_key", "text_key")
+    return stored.select(id_key().alias("id_key"), text_key().alias("text_key"))
+
+
 def existence_sets(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct non-blank ids, and digests of distinct non-blank bodies, of stored rows."""
-    ids = stored.select(id_key().alias("id_key")).where("id_key is not null").distinct()
-    texts = stored.select(text_key().alias("text_key")).where("text_key is not null").distinct()
+    keys = stored_keys(stored)
+    ids = keys.select("id_key").where("id_key is not null").distinct()
+    texts = keys.select("text_key").where("text_key is not null").distinct()
     return ids, texts
 
 
-def anti_id(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def anti_id(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose id is blank or not stored."""
     ids, _ = existence_sets(stored)
-    keyed = rows.withColumn("id_key", id_key())
-    return keyed.join(ids, "id_key", "left_anti").drop("id_key")
+    return _anti(rows.withColumn("_key", id_key()), ids.toDF("_key"), hot_rows)
 
 
-def anti_text(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def anti_text(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose body is blank or not stored, byte for byte."""
     _, texts = existence_sets(stored)
-    keyed = rows.withColumn("text_key", text_key())
-    return keyed.join(texts, "text_key", "left_anti").drop("text_key")
+    return _anti(rows.withColumn("_key", text_key()), texts.toDF("_key"), hot_rows)
+
+
+def _anti(keyed: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame:
+    """Rows with a blank key, which go past the join, and rows whose key is not taken."""
+    blank = keyed.where(F.col("_key").isNull())
+    named = keyed.where(F.col("_key").isNotNull())
+    hot = _hot_keys(named, "_key", named.count(), hot_rows)
+    return _without(named, taken, "_key", hot).unionByName(blank).drop("_key")
 
 
 def _hot_keys(rows: DataFrame, key: str, total: int, hot_rows: int) -> DataFrame | None:
@@ -104,20 +118,14 @@ def _stored_near(stored: DataFrame, rows: DataFrame, total: int) -> tuple[DataFr
         return existence_sets(stored)
     tagged = F.explode(
         F.array(
-            F.struct(F.lit("id").alias("kind"), id_key().alias("key")),
-            F.struct(F.lit("text").alias("kind"), text_key().alias("key")),
+            F.struct(F.lit("id").alias("kind"), F.col("id_key").alias("key")),
+            F.struct(F.lit("text").alias("kind"), F.col("text_key").alias("key")),
         )
     )
-    wanted = rows.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("id").alias("kind"), F.col("id_key").alias("key")),
-                F.struct(F.lit("text").alias("kind"), F.col("text_key").alias("key")),
-            )
-        ).alias("k")
-    ).select("k.*")
+    wanted = rows.select(tagged.alias("k")).select("k.*")
     known = durable(
-        stored.select(tagged.alias("k"))
+        stored_keys(stored)
+        .select(tagged.alias("k"))
         .select("k.*")
         .join(F.broadcast(wanted.distinct()), ["kind", "key"], "left_semi")
         .distinct()
@@ -197,7 +205,8 @@ def ordered_dedup(
 ) -> DataFrame:
     """Rows that are new against ``stored`` and against earlier kept rows.
 
-    ``rows`` has ``id`` and ``selftext``; ``order`` names columns whose values
+    ``rows`` has ``id`` and ``selftext``; so has ``stored``, or it has the keys
+    (see :func:`stored_keys`).  ``order`` names columns whose values
     differ between any two rows (rows alike in all of them and in both keys
     count as one).  Blank ids and blank bodies are never duplicates.  Only keys
     travel: ids, body digests, and the order columns.

@@ -17,7 +17,7 @@ from gleanset.operators.sets import SOURCE_ORDER, check_stream, source_order, st
 from gleanset.plans.durable import durable
 from gleanset.sinks.stored import verified_append
 from gleanset.sources.curated import multi_scan
-from gleanset.sources.stored import backend_choice, snapshot_read
+from gleanset.sources.stored import backend_choice, snapshot_keys, snapshot_read
 
 
 @dataclass(frozen=True)
@@ -120,7 +120,8 @@ def run_batch(
         }
         return RunOutcome(empty, run_result(stages, False), False)
 
-    fresh = durable(new_rows(stream_union(curated, searched), stored))
+    known = snapshot_keys(spark, store, backend, except_run=run)
+    fresh = durable(new_rows(stream_union(curated, searched), known))
     stages = {
         "existing_rows": stored,
         "curated_posts": curated,

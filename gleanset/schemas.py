@@ -21,6 +21,9 @@ REVIEW_COLUMNS = ("commentable",)
 CSV_COLUMNS = SOURCE_COLUMNS + LABEL_COLUMNS
 GRID_COLUMNS = CSV_COLUMNS + REVIEW_COLUMNS
 
+# Kept beside the stored columns of a grid store: digest of the body, "" for an empty one.
+BODY_KEY = "body_key"
+
 RAW_COLUMNS = (
     "post_id",
     "subreddit",

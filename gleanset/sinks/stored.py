@@ -14,8 +14,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanset.functions.values import epoch_text
-from gleanset.schemas import CSV_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS, SOURCE_COLUMNS, stored_schema
+from gleanset.functions.values import body_digest, epoch_text
+from gleanset.schemas import (
+    BODY_KEY,
+    CSV_COLUMNS,
+    LABEL_COLUMNS,
+    REVIEW_COLUMNS,
+    SOURCE_COLUMNS,
+    stored_schema,
+)
 from gleanset.sources.stored import (
     FIRST_RUN,
     backend_choice,
@@ -105,11 +112,13 @@ def _write_run(
 ) -> None:
     if rows_per_file < 1:
         raise ValueError("rows per file must be at least 1")
-    writer = rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     target = f"{path}/run={run}"
     if backend_choice(backend) == "sheets":
-        writer.parquet(target)
+        digest = F.when(F.col("selftext") == "", "").otherwise(body_digest(F.col("selftext")))
+        keyed = rows.withColumn(BODY_KEY, digest)
+        keyed.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(target)
     elif line_end == "\n":
+        writer = rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
         writer.options(**CSV_WRITE_OPTIONS).csv(target)
     else:
         # The CSV writer would turn line feeds inside bodies into this line end too.

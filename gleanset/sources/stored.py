@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanset.schemas import CSV_COLUMNS, GRID_COLUMNS, stored_schema
+from gleanset.operators.dedup import id_key, stored_keys
+from gleanset.schemas import BODY_KEY, CSV_COLUMNS, GRID_COLUMNS, stored_schema
 
 BACKENDS = ("csv", "sheets")
 FIRST_RUN = "start"
@@ -128,6 +129,33 @@ def snapshot_read(
     return _blank_nulls(rows, columns)
 
 
+def snapshot_keys(
+    spark: SparkSession,
+    path: str,
+    backend: str = "csv",
+    *,
+    except_run: str | None = None,
+) -> DataFrame:
+    """Ids and body digests of a store, null where blank: all that de-duplication needs.
+
+    Grid stores keep the digest of every body beside it, so bodies are not read.
+    Rows that another tool wrote have no digest; theirs is worked out, and the
+    scan for them skips all row groups that have no such row.
+    """
+    if backend_choice(backend) == "csv":
+        return stored_keys(snapshot_read(spark, path, backend, except_run=except_run))
+    names = ("id", "selftext", BODY_KEY)
+    schema = stored_schema(names).add(T.StructField("run", T.StringType()))
+    rows = spark.read.schema(schema).parquet(path)
+    if except_run is not None:
+        rows = rows.where(F.col("run") != except_run)
+    digest = F.when(F.col(BODY_KEY) != "", F.col(BODY_KEY))
+    keyed = rows.where(F.col(BODY_KEY).isNotNull()).select(
+        id_key().alias("id_key"), digest.alias("text_key")
+    )
+    return keyed.unionByName(stored_keys(rows.where(F.col(BODY_KEY).isNull())))
+
+
 def dataset_stats(rows: DataFrame) -> DataFrame:
     """Rows, columns, and bytes of a file-backed dataset; every file's size counts once.
 

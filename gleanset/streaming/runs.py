@@ -13,7 +13,7 @@ from gleanset.operators.cleaning import clean_posts
 from gleanset.operators.dedup import ordered_dedup
 from gleanset.plans.durable import durable
 from gleanset.sinks.stored import verified_append
-from gleanset.sources.stored import snapshot_read
+from gleanset.sources.stored import snapshot_keys
 
 # Cadence, lookback, and offset from midnight of both schedules, in seconds.
 GLOBAL_SCHEDULE = (3 * 3600, 6 * 3600, 0)
@@ -46,7 +46,7 @@ def incremental_append(
     def append(batch: DataFrame, number: int) -> None:
         started.wait()
         run = f"{query_id[0]}-{number}"
-        stored = snapshot_read(batch.sparkSession, store, backend, except_run=run)
+        stored = snapshot_keys(batch.sparkSession, store, backend, except_run=run)
         carried = [f"_{i}" for i in range(len(order))]
         ordered = batch.withColumns({c: F.col(o) for c, o in zip(carried, order, strict=True)})
         # Read once: a second read of a micro-batch would run its source and state again.

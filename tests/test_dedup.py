@@ -124,6 +124,19 @@ def test_order_of_several_columns(spark):
     assert sorted((r.n, r.s) for r in kept) == [(1, "z"), (2, "a")]
 
 
+def test_anti_joins_split_hot_keys(spark):
+    rows = spark.range(300).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('i', id % 50)) as id",
+        "if(id % 4 = 0, 'body', if(id % 4 = 1, '', concat('t', id))) as selftext",
+        "id as n",
+    )
+    stored = spark.createDataFrame([("hot", "body"), ("i1", "t2")], "id string, selftext string")
+    for anti in (dedup.anti_id, dedup.anti_text):
+        plain = sorted(r.n for r in anti(rows, stored).collect())
+        assert plain == sorted(r.n for r in anti(rows, stored, hot_rows=20).collect())
+        assert 0 < len(plain) < 300
+
+
 def test_anti_joins_and_sets(spark):
     rows = spark.createDataFrame(
         [("a", "x"), ("", "y"), ("c", ""), ("d", "x")], "id string, selftext string"

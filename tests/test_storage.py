@@ -211,6 +211,25 @@ def test_named_checkpoint_folder_is_used(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
+def test_digests_stand_for_stored_bodies(spark, tmp_path):
+    store = str(tmp_path / "store")
+    sink.create_store(spark, store, "sheets", clean_rows(spark))
+    keys = src.snapshot_keys(spark, store, "sheets")
+    wanted = dedup.stored_keys(src.snapshot_read(spark, store, "sheets"))
+    pairs = sorted(map(repr, wanted.collect()))
+    assert sorted(map(repr, keys.collect())) == pairs
+    scans = [p for p in keys._jdf.queryExecution().executedPlan().toString().split("\n") if "ReadSchema" in p]
+    assert any("ReadSchema: struct<id:string,body_key:string>" in p for p in scans)
+    # Another tool adds a run without digests.
+    other = src.snapshot_read(spark, store, "sheets").where("id = 'p0'")
+    other.selectExpr("'q' as id", "'own body' as selftext").write.parquet(f"{store}/run=other")
+    more = src.snapshot_keys(spark, store, "sheets")
+    assert more.count() == keys.count() + 1
+    new = clean_rows(spark, ["own body", "plain", "new body"], "n")
+    assert [r.id for r in dedup.ordered_dedup(new, more, ["id"]).collect()] == ["n2"]
+    assert src.snapshot_keys(spark, store, "sheets", except_run="other").count() == keys.count()
+
+
 def test_reading_for_dedup_needs_two_columns(spark, tmp_path):
     store = str(tmp_path / "store")
     sink.create_store(spark, store, "sheets", clean_rows(spark))
