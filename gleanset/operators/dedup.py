@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanset.functions.values import body_digest
 from gleanset.plans.durable import durable
@@ -26,10 +27,11 @@ HOT_ROWS = 100_000
 # Frames counted at or below this many rows (keys only) are broadcast.
 BROADCAST_ROWS = 500_000
 
-# From this round on, an earliest slice of at most SLICE_ROWS rows is settled in
-# one task per round, so that a long chain of duplicates needs few rounds.
+# From this round on, a slice of about SLICE_ROWS earliest rows, four times that at
+# most, is settled in one task per round, so that a long chain needs few rounds.
 SLICE_FROM_ROUND = 8
 SLICE_ROWS = 100_000
+SAMPLE_ROWS = 10_000
 
 
 def _private(prefix: str) -> Column:
@@ -156,11 +158,38 @@ def _keep_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[kept]
 
 
-def _settle_earliest(rows: DataFrame, slice_rows: int) -> DataFrame:
-    """Kept rows among the earliest ``slice_rows``; later rows cannot change them."""
-    earliest = rows.orderBy("ord").limit(slice_rows)
-    in_order = earliest.coalesce(1).sortWithinPartitions("ord").select("id_key", "text_key")
-    kept = in_order.mapInPandas(_keep_in_order, "id_key string, text_key string")
+def _literal(value: object, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.lit(value).cast(kind)
+
+
+def _earliest(rows: DataFrame, total: int, slice_rows: int) -> DataFrame | None:
+    """About the ``slice_rows`` earliest rows, or None if a sample misjudged their number.
+
+    Any bound on the order is exact here; the sample only decides how far it reaches.
+    """
+    if total <= slice_rows:
+        return rows
+    sampled = rows.select("ord").sample(min(1.0, SAMPLE_ROWS / total))
+    reach = max(1, min(SAMPLE_ROWS, total) * slice_rows // total)
+    bound = sampled.orderBy("ord").limit(reach).agg(F.max("ord").alias("ord")).first()["ord"]
+    if bound is None:
+        return None
+    earliest = rows.where(F.col("ord") <= _literal(bound, rows.schema["ord"].dataType))
+    return earliest if earliest.count() <= 4 * slice_rows else None
+
+
+def _settle_earliest(rows: DataFrame, total: int, slice_rows: int) -> DataFrame | None:
+    """Kept rows among the earliest; later rows cannot change them."""
+    earliest = _earliest(rows, total, slice_rows)
+    if earliest is None:
+        return None
+    # A shuffle of the slice alone: coalescing would scan all rows in one task too.
+    one_task = earliest.repartition(1).sortWithinPartitions("ord")
+    kept = one_task.select("id_key", "text_key").mapInPandas(
+        _keep_in_order, "id_key string, text_key string"
+    )
     return rows.join(F.broadcast(kept), ["id_key", "text_key"], "left_semi").select(
         "id_key", "text_key", "ord"
     )
@@ -181,11 +210,12 @@ def kept_rows(
     rows = keys
     kept = None
     rounds = 0
-    while rows.take(1):
+    while total := rows.count():
         rounds += 1
         found = _firsts(rows)
         if rounds >= slice_from_round:
-            found = found.unionByName(_settle_earliest(rows, slice_rows)).distinct()
+            settled = _settle_earliest(rows, total, slice_rows)
+            found = found if settled is None else found.unionByName(settled).distinct()
         found = durable(found)
         kept = found if kept is None else kept.unionByName(found)
         rest = _without(rows, found.select("id_key"), "id_key", hot_ids)

@@ -42,7 +42,7 @@ def day_prefilter(
 
 def allow_list(posts: DataFrame, communities: Sequence[str]) -> DataFrame:
     """Posts of the listed communities, once each."""
-    listed = allow_list_frame(posts.sparkSession, communities).select("community_key").distinct()
+    listed = allow_list_frame(posts.sparkSession, communities).select("community_key")
     keyed = posts.withColumn("community_key", F.lower("subreddit"))
     # The list is a Python argument, so its size is bounded.
     return keyed.join(F.broadcast(listed), "community_key", "left_semi").drop("community_key")

@@ -107,6 +107,23 @@ def test_long_chain_is_settled_by_slices(spark):
     assert rounds <= 5
 
 
+def test_slices_with_an_order_of_several_columns(spark):
+    rows = []
+    for k in range(40):
+        rows += [(k, "a", f"i{k}", f"t{k}"), (k, "b", f"i{k + 1}", f"t{k}")]
+    frame = spark.createDataFrame(rows, "n int, s string, id string, selftext string")
+    kept = dedup.ordered_dedup(frame, None, ["n", "s"], slice_from_round=1, slice_rows=30)
+    flat = [(2 * n + (s == "b"), i, t) for n, s, i, t in rows]
+    assert sorted(2 * r.n + (r.s == "b") for r in kept.collect()) == in_order(flat)
+
+
+def test_misjudged_slice_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SAMPLE_ROWS", 1)
+    rng = random.Random(9)
+    rows = random_rows(rng, 80, 10, 10)
+    assert run(spark, rows, slice_from_round=1, slice_rows=2) == in_order(rows)
+
+
 def test_large_side_path_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(dedup, "BROADCAST_ROWS", 0)
     rng = random.Random(5)
