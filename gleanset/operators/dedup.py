@@ -20,9 +20,10 @@ from pyspark.sql import types as T
 from gleanset.functions.values import body_digest
 from gleanset.plans.durable import durable
 
-# A key is hot when it holds more rows than this and more than a thousandth of
-# all rows.  So there are never more than a thousand hot keys to broadcast.
+# A key is hot when it seems to hold more rows than this and more than a thousandth
+# of all rows.  So there are never more than some two thousand to broadcast.
 HOT_ROWS = 100_000
+HOT_SAMPLE_ROWS = 1_000_000
 
 # Frames counted at or below this many rows (keys only) are broadcast.
 BROADCAST_ROWS = 500_000
@@ -80,17 +81,31 @@ def _anti(keyed: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame:
     """Rows with a blank key, which go past the join, and rows whose key is not taken."""
     blank = keyed.where(F.col("_key").isNull())
     named = keyed.where(F.col("_key").isNotNull())
-    hot = _hot_keys(named, "_key", named.count(), hot_rows)
+    hot = _hot_keys(_hot_sample(named.select("_key"), named.count(), hot_rows), "_key")
     return _without(named, taken, "_key", hot).unionByName(blank).drop("_key")
 
 
-def _hot_keys(rows: DataFrame, key: str, total: int, hot_rows: int) -> DataFrame | None:
-    """Keys with very many rows, or None; at most a thousand by the size they must reach."""
-    floor = max(hot_rows, total // 1000)
-    if total <= floor:
+def _hot_sample(rows: DataFrame, total: int, hot_rows: int) -> tuple[DataFrame, int] | None:
+    """Rows to find hot keys in, and the count there that makes a key hot; None if none can be.
+
+    A sample is enough: which keys are treated as hot changes the work, never the
+    result.  A key needs at least a two-thousandth of the sample, which bounds
+    how many there are.
+    """
+    least = max(hot_rows, total // 1000)
+    if total <= least:
+        return None
+    fraction = min(1.0, HOT_SAMPLE_ROWS / total)
+    return durable(rows.sample(fraction)), max(1, int(least * fraction / 2))
+
+
+def _hot_keys(sample: tuple[DataFrame, int] | None, key: str) -> DataFrame | None:
+    """Keys with very many rows, or None."""
+    if sample is None:
         return None
+    rows, least = sample
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = durable(counts.where(F.col("n") > floor).select(key))
+    hot = durable(counts.where(F.col("n") > least).select(key))
     return hot if hot.take(1) else None
 
 
@@ -252,8 +267,9 @@ def ordered_dedup(
     # Of rows alike in both keys only the first can be kept; copies fold before the shuffle.
     pairs = durable(keyed.groupBy("id_key", "text_key").agg(F.min("ord").alias("ord")))
     total = pairs.count()
-    hot_ids = _hot_keys(pairs, "id_key", total, hot_rows)
-    hot_texts = _hot_keys(pairs, "text_key", total, hot_rows)
+    sample = _hot_sample(pairs.select("id_key", "text_key"), total, hot_rows)
+    hot_ids = _hot_keys(sample, "id_key")
+    hot_texts = _hot_keys(sample, "text_key")
 
     fresh = pairs
     if stored is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from gleanset.plans.catalog import ALL_HOURS, BATCH, LIMIT, STORED_AGE_HOURS
+from gleanset.plans.catalog import BATCH, LIMIT, STORED_AGE_HOURS
 from gleanset.schemas import GRID_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS
 from gleanset.functions.values import POST_BASE_URL
 from gleanset.sources.testdata import TEST_COMMUNITIES, TEST_GROUPS, TEST_PAINS, TEST_TOOLS

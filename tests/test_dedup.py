@@ -94,6 +94,18 @@ def test_hot_keys_are_split_and_change_nothing(spark, seed, monkeypatch):
     assert any(h is not None for h in found)
 
 
+def test_hot_keys_are_found_in_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HOT_SAMPLE_ROWS", 2000)
+    rows = spark.range(20_000).selectExpr(
+        "id as no", "concat('i', id) as id", "if(id % 3 = 0, 'hot', concat('t', id % 9000)) as selftext"
+    )
+    keys = rows.select(F.col("selftext").alias("text_key"))
+    hot = dedup._hot_keys(dedup._hot_sample(keys, 20_000, 2000), "text_key")
+    assert [r.text_key for r in hot.collect()] == ["hot"]
+    kept = dedup.ordered_dedup(rows, None, ["no"], hot_rows=2000)
+    assert sorted(r.no for r in kept.collect()) == in_order([tuple(r) for r in rows.collect()])
+
+
 def test_long_chain_is_settled_by_slices(spark):
     """Every row waits for the one before: rounds alone would need half as many as rows."""
     rows = []

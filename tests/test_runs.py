@@ -17,7 +17,10 @@ POSTS = (
     "post_id string, subreddit string, title string, text string, author string, "
     "created_utc double, score bigint, num_comments bigint, url string"
 )
-STORED = "subreddit string, id string, title string, author string, created_utc double, created_iso string, url string, selftext string"
+STORED = (
+    "subreddit string, id string, title string, author string, created_utc double, "
+    "created_iso string, url string, selftext string"
+)
 HOUR = 3600
 
 
@@ -45,7 +48,10 @@ SETTINGS = R.RunSettings(communities=["OPS", "gone"], pains=["alpha", "beta"], t
 
 def store_with_rows(spark, tmp_path, backend):
     path = str(tmp_path / "store")
-    old = [("s", "stored id", "t", "a", 1.0, "i", "u", "old"), ("s", "x", "t", "a", 1.0, "i", "u", "known body")]
+    old = [
+        ("s", "stored id", "t", "a", 1.0, "i", "u", "old"),
+        ("s", "x", "t", "a", 1.0, "i", "u", "known body"),
+    ]
     create_store(spark, path, backend, spark.createDataFrame(old, STORED))
     return path
 
@@ -167,7 +173,8 @@ def test_flattening_submissions(spark, tmp_path):
 
 
 def test_last_copy_wins_by_id(spark):
-    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "post_id string, n int, v string")
+    copies = [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")]
+    rows = spark.createDataFrame(copies, "post_id string, n int, v string")
     assert sorted((r.post_id, r.v) for r in sets.distinct_by_id(rows, ["n"]).collect()) == [
         ("a", "y"),
         ("b", "z"),
