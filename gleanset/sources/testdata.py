@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanset.plans.parallel import spread
+from gleanset.plans.shipping import ship_package
 from gleanset.sources.raw import raw_flatten
 
 # Terms that do occur in the test tables.
@@ -36,6 +37,7 @@ TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_i
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gleanset.plans.catalog import all_queries
+from gleanset.plans.oracles import all_oracles
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
@@ -21,7 +23,9 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
@@ -30,14 +34,14 @@ def test_flagship(spark):
     ]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_sql(spark, db, name):
-    frame = entry.queries()[name](spark, str(SF))
+    frame = all_queries()[name](spark, str(SF))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     columns = sorted(frame.columns)
     got = sorted((tuple(r) for r in frame.select(*columns).collect()), key=repr)
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(all_oracles()[name])
     head = [d[0] for d in cursor.description]
     assert sorted(head) == columns
     spots = [head.index(c) for c in columns]
