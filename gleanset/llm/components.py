@@ -19,8 +19,11 @@ def _star(pairs: DataFrame, own: bool) -> DataFrame:
 
     With ``own``, ``a`` is linked too; otherwise only those ``b`` that are larger than ``a``.
     """
-    least = pairs.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("k"), F.least("a", "m").alias("m")
+    # Made durable first: Spark splits a join's large key only where both sides come from a shuffle.
+    least = durable(
+        pairs.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("k"), F.least("a", "m").alias("m")
+        )
     )
     joined = pairs.join(least, F.col("a") == F.col("k"))
     if own:

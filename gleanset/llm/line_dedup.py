@@ -63,7 +63,7 @@ def boilerplate_lines(
         F.array_distinct(_told(_lines(F.col("_text")))),
         lambda x: F.array_contains("_hashes", F.xxhash64(x)),
     )
-    per_host = small_enough(per_host, BROADCAST_LINES)
+    per_host = small_enough(durable(per_host), BROADCAST_LINES)
     return (
         named.alias("a").join(per_host.alias("b"), same_host)
         .select("a._host", "host_pages", F.explode(suspected).alias("_line"))
@@ -85,7 +85,7 @@ def drop_boilerplate(
         F.collect_list("_line").alias("_bad"),
         F.collect_list(F.xxhash64("_line")).alias("_bad_hashes"),
     )
-    lists = small_enough(lists, BROADCAST_LINES) if found.count() <= BROADCAST_LINES else lists
+    lists = F.broadcast(lists) if found.count() <= BROADCAST_LINES else durable(lists)
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     joined = pages.select(*columns).join(lists, F.col(host).eqNullSafe(F.col("_host")), "left")
     lines = _lines(F.col(text))

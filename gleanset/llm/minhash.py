@@ -142,6 +142,8 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         .agg(F.min(F.struct("rep", "n")).alias("least"), F.count(F.lit(1)).alias("many"))
         .where("many > 1").select("bucket", "least")
     )
+    # Stored first: Spark splits a join's large key only where both sides come from a shuffle.
+    least = stored(least, "bucket-least")
     members = stored(rows.join(least, "bucket"), "bucket-members")
     star = (
         members.select(F.col("least.rep").alias("a"), F.col("rep").alias("b"),
@@ -162,6 +164,7 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
             .agg(F.min("component").alias("main"), F.max("component").alias("last"))
             .where("main <> last").select("bucket", "main")
         )
+        split = durable(split)
         placed = stored(placed.join(split, "bucket"), "split-buckets")
         if not placed.take(1):
             return links

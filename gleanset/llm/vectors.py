@@ -219,7 +219,7 @@ def _length_links(rows: DataFrame, total: int, min_cosine: float, trees: int, le
     )
     parts = F.greatest(F.lit(1), F.ceil(F.col("dense") / PART_VECTORS)).cast("int")
     # A leaf without vectors outside dense groups has nothing to compare.
-    sizes = sizes.where("others > 0").select("tree", "node", parts.alias("parts"))
+    sizes = stored(sizes.where("others > 0").select("tree", "node", parts.alias("parts")), "leaf-sizes")
     dealt = placed.join(sizes, ["tree", "node"]).withColumn(
         "part",
         F.explode(
