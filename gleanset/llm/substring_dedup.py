@@ -35,7 +35,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanset.llm.tables import small_enough, stored, widened
+from gleanset.llm.tables import BROADCAST_ROWS, small_enough, stored, widened
 from gleanset.llm.words import (
     Words, batch_words, mix, ngram_hashes, range_hashes, slices, split_words, text_bytes,
 )
@@ -229,6 +229,8 @@ def repeated_spans(
     recurring = (
         occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     )
+    # Stored first: Spark splits a join's large key only where both sides come from a shuffle.
+    recurring = stored(recurring, "recurring-anchors")
     repeated = stored(occurrences.join(recurring, "anchor"), "recurring-stretches")
     distinct = stored(
         repeated.groupBy("anchor", "s1", "s2").agg(
@@ -282,7 +284,23 @@ def repeated_spans(
     spans = repeated.join(covered, ["anchor", "s1", "s2"]).select(
         *KEY, F.struct((F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("end")).alias("end")).alias("span")
     )
-    return spans.groupBy(*KEY).agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    gathered = spans.groupBy(*KEY).agg(F.sort_array(F.collect_set("span")).alias("spans"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            merged = []
+            for found in batch.column("spans").to_pylist():
+                apart = [found[0]]
+                for span in found[1:]:
+                    if span["first"] <= apart[-1]["end"]:
+                        apart[-1]["end"] = max(apart[-1]["end"], span["end"])
+                    else:
+                        apart.append(span)
+                merged.append(apart)
+            made = pa.array(merged, batch.schema.field("spans").type)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEY), made], [*KEY, "spans"])
+
+    return gathered.mapInArrow(merge, gathered.schema)
 
 
 def keep_words(words: Words, spans: list[list[dict] | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -321,7 +339,9 @@ def remove_repeats(
     spans = stored(repeated_spans(texts, text, window=window, **how), "repeated-spans")
     keyed = texts.select(*columns, *[k.alias(f"_{n}") for n, k in zip(KEY, text_key(F.col(text)))])
     found = spans.select(*[F.col(k).alias(f"_{k}") for k in KEY], F.col("spans").alias("_spans"))
-    joined = keyed.join(small_enough(found), [f"_{k}" for k in KEY], "left").select(*columns, "_spans")
+    many = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    found = F.broadcast(found) if many <= BROADCAST_ROWS else found
+    joined = keyed.join(found, [f"_{k}" for k in KEY], "left").select(*columns, "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
