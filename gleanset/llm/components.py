@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 from gleanset.plans.durable import durable
 
 
-def _star(pairs: DataFrame, own: bool) -> DataFrame:
+# From so many edges on, a vertex may have more than a task should hold.
+MANY_EDGES = 100_000
+
+
+def _star(pairs: DataFrame, own: bool, many: bool) -> DataFrame:
     """Link each ``b`` of a vertex ``a`` to the least of them all.
 
     With ``own``, ``a`` is linked too; otherwise only those ``b`` that are larger than ``a``.
     """
-    # Made durable first: Spark splits a join's large key only where both sides come from a shuffle.
-    least = durable(
-        pairs.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("k"), F.least("a", "m").alias("m")
-        )
+    least = pairs.groupBy("a").agg(F.min("b").alias("m")).select(
+        F.col("a").alias("k"), F.least("a", "m").alias("m")
     )
+    if many:
+        # Spark splits a join's large key only where both sides come from a shuffle.
+        least = durable(least)
     joined = pairs.join(least, F.col("a") == F.col("k"))
     if own:
         linked = joined.select(F.col("b").alias("x"), F.col("m").alias("y")).unionByName(
@@ -54,9 +58,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(
             now.select(F.col("y").alias("a"), F.col("x").alias("b"))
         )
-        large = _star(both, own=False)
+        many = seen["n"] > MANY_EDGES
+        large = _star(both, own=False, many=many)
         down = large.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        now = durable(_star(down, own=True))
+        now = durable(_star(down, own=True, many=many))
         after = now.agg(*_signature()).first()
         if after == seen:
             break

@@ -7,11 +7,12 @@ filled after twice as many rounds at the latest.  Equal bins estimate the Jaccar
 similarity with the concentration of independent draws, at a cost that does not grow with the bins.
 
 Texts with equal shingle sets form a class, and only classes go on.  Classes that agree
-in a band meet in a bucket; there every class is compared with the bucket's least one, on
-full sets.  Buckets whose classes are then in different components go on in rounds: up to
-``CENTERS`` classes outside the main component are compared with all classes of other
-components, and leave the bucket.  So no two classes of a bucket remain uncompared
-unless they are in one component already, and no group is ever expanded into all its pairs.
+in a band meet in a bucket.  Every class is compared, on full sets, with the least ones of its
+buckets, one first and then four times as many per round, as long as they are in other components.
+Buckets that still hold different components go on in rounds: one class outside the main
+component, then four times as many, is compared with all classes of other components and leaves
+the bucket.  So no two classes of a bucket remain uncompared unless they are in one
+component already, and a group of copies is not expanded into all its pairs.
 
 With the defaults a pair of similarity 0.8 shares no band with a probability of 3e-6.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanset.llm.components import components
@@ -37,7 +38,6 @@ from gleanset.plans.durable import durable
 
 BINS = 256
 BAND_ROWS = 6
-CENTERS = 32
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -130,7 +130,15 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(100 * common >= percent * union).select("a", "b")
 
 
-def _size_allows(percent: int) -> object:
+def _other_component(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    for end in ("a", "b"):
+        own = found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.where("of_a <> of_b").select("a", "b")
+
+
+def _size_allows(percent: int) -> Column:
     return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
@@ -145,51 +153,66 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     # Stored first: Spark splits a join's large key only where both sides come from a shuffle.
     least = stored(least, "bucket-least")
     members = stored(rows.join(least, "bucket"), "bucket-members")
-    star = (
+    star = stored(
         members.select(F.col("least.rep").alias("a"), F.col("rep").alias("b"),
                        F.col("least.n").alias("na"), F.col("n").alias("nb"))
-        .where(F.col("a") != F.col("b")).where(_size_allows(percent)).select("a", "b").distinct()
+        .where(F.col("a") != F.col("b")).where(_size_allows(percent)).select("a", "b").distinct(),
+        "bucket-stars",
     )
     wanted = stored(members.select(F.col("rep").alias("key")).distinct(), "bucket-classes")
     chosen = texts.where("key is not null").join(small_enough(wanted), "key", "left_semi")
     sets = stored(_sets(chosen, size).dropDuplicates(["key"]), "shingle-sets")
-    links = durable(_similar(star, sets, percent))
-    tested = star
-    rest = members.where(F.col("rep") != F.col("least.rep")).select("bucket", "rep", "n")
+    links = tested = star.limit(0)
+
+    # Each class with the least of its buckets: with one of them first, then with four times as many.
+    width = 1
+    while True:
+        found = durable(components(links))
+        apart = _other_component(star, found).join(tested, ["a", "b"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("b").orderBy("a"))
+        pairs = stored(apart.withColumn("place", place).where(F.col("place") <= width).select("a", "b"), "star-pairs")
+        if not pairs.take(1):
+            break
+        tested = tested.unionByName(pairs)
+        links = stored(links.unionByName(_similar(pairs, sets, percent)), "links")
+        width *= 4
+
+    # Buckets that still hold several components.
+    rest, width = members.select("bucket", "rep", "n"), 1
     while True:
-        found = components(links).select(F.col("id").alias("rep"), "component")
-        placed = rest.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        split = (
+        component = found.select(F.col("id").alias("rep"), "component")
+        placed = rest.join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        split = durable(
             placed.groupBy("bucket")
             .agg(F.min("component").alias("main"), F.max("component").alias("last"))
             .where("main <> last").select("bucket", "main")
         )
-        split = durable(split)
         placed = stored(placed.join(split, "bucket"), "split-buckets")
         if not placed.take(1):
             return links
         order = Window.partitionBy("bucket").orderBy("rep")
-        centers = (
+        centers = durable(
             placed.where("component <> main").withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= CENTERS)
+            .where(F.col("place") <= width)
             .select("bucket", F.col("rep").alias("center"), F.col("n").alias("nc"),
                     F.col("component").alias("other"))
         )
-        centers = durable(centers)
-        pairs = (
+        pairs = stored(
             placed.join(centers, "bucket").where("component <> other")
             .select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"),
                     F.col("n").alias("na"), F.col("nc").alias("nb"))
             .where(_size_allows(percent)).select("a", "b").distinct()
-            .join(tested, ["a", "b"], "left_anti")
+            .join(tested, ["a", "b"], "left_anti"),
+            "bucket-pairs",
         )
-        pairs = durable(pairs)
         tested = tested.unionByName(pairs)
-        links = durable(links.unionByName(_similar(pairs, sets, percent)))
-        rest = durable(
+        links = stored(links.unionByName(_similar(pairs, sets, percent)), "links")
+        rest = stored(
             placed.join(centers.select("bucket", F.col("center").alias("rep")), ["bucket", "rep"], "left_anti")
-            .select("bucket", "rep", "n")
+            .select("bucket", "rep", "n"), "open-buckets",
         )
+        found = durable(components(links))
+        width *= 4
 
 
 def near_duplicates(
