@@ -35,9 +35,10 @@ SLICE_ROWS = 100_000
 SAMPLE_ROWS = 10_000
 
 
-def _private(prefix: str) -> Column:
-    """A key no other row shares, for rows whose own key is blank."""
-    return F.concat(F.lit("\u0000" + prefix), F.to_json(F.struct("ord")))
+def _private(prefix: str, other: Column) -> Column:
+    """A key for rows whose own key is blank: shared only by rows alike in order and other key."""
+    place = F.to_json(F.struct("place"), {"ignoreNullFields": "false"})
+    return F.concat(F.lit("\u0000" + prefix), place, other)
 
 
 def id_key(column: str = "id") -> Column:
@@ -251,27 +252,33 @@ def ordered_dedup(
     """Rows that are new against ``stored`` and against earlier kept rows.
 
     ``rows`` has ``id`` and ``selftext``; so has ``stored``, or it has the keys
-    (see :func:`stored_keys`).  ``order`` names columns whose values
-    differ between any two rows (rows alike in all of them and in both keys
-    count as one).  Blank ids and blank bodies are never duplicates.  Only keys
-    travel: ids, body digests, and the order columns.
+    (see :func:`stored_keys`).  ``order`` names the columns to order by, nulls
+    first; rows that tie are ordered by id and then by body digest, blanks
+    first.  Blank ids and blank bodies are never duplicates; a row blank in both
+    is always kept.  Of rows alike in all of these one is kept.  Only keys
+    travel, and the bodies of rows that occur more than once.
     """
-    one = order[0] if len(order) == 1 else None
-    ordinal = F.col(one) if one else F.struct(*order)
-    ordered = rows.withColumn("ord", ordinal)
-    keyed = ordered.select(
-        "ord",
-        F.coalesce(id_key(), _private("i")).alias("id_key"),
-        F.coalesce(text_key(), _private("t")).alias("text_key"),
-    )
+    both_blank = id_key().isNull() & text_key().isNull()
+    named = rows.where(~both_blank).withColumn("place", F.struct(*order)).withColumns(
+        {"_id": id_key(), "_text": text_key()}
+    ).withColumns({
+        "_id": F.coalesce("_id", _private("i", F.col("_text"))),
+        "_text": F.coalesce("_text", _private("t", F.col("_id"))),
+    })
+    ordinal = F.struct("place", F.col("_id").alias("id_key"), F.col("_text").alias("text_key"))
+    ordered = named.withColumn("ord", ordinal).drop("place", "_id", "_text")
+    keyed = ordered.select("ord", "ord.id_key", "ord.text_key")
     # Of rows alike in both keys only the first can be kept; copies fold before the shuffle.
-    pairs = durable(keyed.groupBy("id_key", "text_key").agg(F.min("ord").alias("ord")))
+    pairs = durable(
+        keyed.groupBy("id_key", "text_key")
+        .agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("copies"))
+    )
     total = pairs.count()
     sample = _hot_sample(pairs.select("id_key", "text_key"), total, hot_rows)
     hot_ids = _hot_keys(sample, "id_key")
     hot_texts = _hot_keys(sample, "text_key")
 
-    fresh = pairs
+    fresh = pairs.select("id_key", "text_key", "ord")
     if stored is not None:
         ids, texts = _stored_near(stored, pairs, total)
         fresh = _without(fresh, ids, "id_key", hot_ids)
@@ -284,7 +291,11 @@ def ordered_dedup(
         hot_ids=hot_ids,
         hot_texts=hot_texts,
     )
-    winners = kept.select("ord")
+    repeated = pairs.where("copies > 1").select("ord")
+    once = kept.select("ord").join(repeated, "ord", "left_anti")
+    several = kept.select("ord").join(repeated, "ord", "left_semi")
     if total <= BROADCAST_ROWS:
-        winners = F.broadcast(winners)
-    return ordered.join(winners, "ord", "left_semi").dropDuplicates(["ord"]).drop("ord")
+        once, several = F.broadcast(once), F.broadcast(several)
+    single = ordered.join(once, "ord", "left_semi")
+    folded = ordered.join(several, "ord", "left_semi").dropDuplicates(["ord"])
+    return single.unionByName(folded).drop("ord").unionByName(rows.where(both_blank))

@@ -72,10 +72,9 @@ def vocab_partition_check(wanted: DataFrame, held: DataFrame) -> DataFrame:
     Empty when ``held`` splits ``wanted`` exactly.
     """
     (column,) = wanted.columns
-    missing = wanted.exceptAll(held).withColumn("side", F.lit("missing"))
-    surplus = held.exceptAll(wanted).withColumn("side", F.lit("surplus"))
-    return (
-        missing.unionByName(surplus)
-        .groupBy(column, "side")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    weighed = wanted.withColumn("_weight", F.lit(1)).unionByName(
+        held.withColumn("_weight", F.lit(-1))
     )
+    excess = weighed.groupBy(column).agg(F.sum("_weight").alias("_excess")).where("_excess <> 0")
+    side = F.when(F.col("_excess") > 0, "missing").otherwise("surplus")
+    return excess.select(column, side.alias("side"), F.abs("_excess").alias("copies"))

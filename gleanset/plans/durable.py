@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,10 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints.
+    """The folder the cluster names for checkpoints, or the one the session has set.
 
-    A local session without the setting gets a temporary folder; a cluster
-    session without it is refused, since a folder of one machine is no use there.
+    Where both are unset, a session on this one machine gets a temporary folder; a
+    cluster session is refused, since a folder of one machine is no use there.
     """
     context = spark.sparkContext
     named = context.getConf().get(CHECKPOINT_SETTING) or spark.conf.get(CHECKPOINT_SETTING, None)
@@ -23,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", context.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     return tempfile.mkdtemp(prefix="gleanset-")
 

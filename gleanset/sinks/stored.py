@@ -7,9 +7,7 @@ repeated run replaces itself, whatever a failed try has left.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,15 +81,27 @@ def _quoted_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws(",", *quoted).alias("value"))
 
 
-def _with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every part file with rows starts with the header."""
+def _crlf_files(rows: DataFrame, rows_per_file: int, with_blank: bool) -> DataFrame:
+    """Lines of CSV files that each start with the header, at most so many rows to a file.
+
+    Files are cut by task and by place in the task, so no row is moved; the writer
+    starts a new file at every ``file``.  ``with_blank`` adds a file of the header alone, so
+    that a store without rows has its columns and line end.
+    """
     header = ",".join(f'"{c}"' for c in CSV_COLUMNS)
-    head = None
-    for batch in batches:
-        if head is None:
-            head = pa.RecordBatch.from_pylist([{"value": header}], schema=batch.schema)
-            yield head
-        yield batch
+    place = F.monotonically_increasing_id()
+    in_task = place.bitwiseAND(F.lit((1 << 33) - 1))
+    file = F.concat_ws("-", F.shiftright(place, 33), F.floor(in_task / rows_per_file))
+    lines = _quoted_lines(rows).select("value", place.alias("place"), file.alias("file"))
+    first = in_task % rows_per_file == 0
+    lines = lines.select(
+        F.when(first, F.concat(F.lit(header + "\r\n"), "value")).otherwise(F.col("value")).alias("value"),
+        "file",
+    )
+    if with_blank:
+        blank = rows.sparkSession.createDataFrame([(header, "header")], "value string, file string")
+        lines = lines.unionByName(blank)
+    return lines
 
 
 def check_run(run: str) -> str:
@@ -122,8 +132,8 @@ def _write_run(
         writer.options(**CSV_WRITE_OPTIONS).csv(target)
     else:
         # The CSV writer would turn line feeds inside bodies into this line end too.
-        lines = _quoted_lines(rows).mapInArrow(_with_header, "value string")
-        lines.write.mode(mode).option("lineSep", line_end).text(target)
+        lines = _crlf_files(rows, rows_per_file, with_blank=run == FIRST_RUN)
+        lines.write.mode(mode).option("lineSep", line_end).partitionBy("file").text(target)
 
 
 def create_store(

@@ -58,7 +58,7 @@ def line_style(spark: SparkSession, path: str) -> str:
 
 
 def _check_header(line: str | None, expected: tuple[str, ...]) -> None:
-    text = (line or "").removeprefix("﻿").rstrip("\r")
+    text = (line or "").removeprefix("\ufeff").rstrip("\r")
     found = tuple(next(csv.reader([text]), ()))
     if found != expected:
         raise ValueError(f"unexpected dataset schema: expected {expected}, found {found}")
