@@ -53,7 +53,7 @@ LATIN_PATTERN = (
 INDEXED_WORDS = 3_000
 
 # Words a Python worker remembers; then it starts afresh.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 
 
 def newer_letters() -> str:
