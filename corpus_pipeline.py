@@ -51,13 +51,12 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     vocabulary = bpe.load_vocabulary(spark, public_tokenizers.path(BPE_FILE))
-    encoded = bpe.bpe_encode(spread(docs, "doc_id"), vocabulary)
-    decoded = bpe.bpe_decode(vocabulary, F.col("ids"))
+    encoded = bpe.bpe_encode(spread(docs, "doc_id"), vocabulary, decoded="decoded")
     return encoded.select(
         "doc_id", "lang", "source",
         F.size("ids").cast("bigint").alias("n_tokens"),
         bpe.text_digest(F.col("ids")).alias("ids_sha256"),
-        (decoded == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
 

@@ -23,13 +23,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import pre_tokenizers
 
 from gleanset.llm.tables import widened
 from gleanset.llm.words import slices
@@ -53,7 +51,7 @@ LATIN_PATTERN = (
 INDEXED_WORDS = 3_000
 
 # Words a Python worker remembers; then it starts afresh.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 120_000
 
 
 def newer_letters() -> str:
@@ -62,6 +60,8 @@ def newer_letters() -> str:
     The two follow different Unicode versions, so characters that were given out
     of late are put to the library one by one.
     """
+    from tokenizers import pre_tokenizers  # the driver's alone; workers need not load it
+
     library = pre_tokenizers.ByteLevel(add_prefix_space=False)
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
 
@@ -237,8 +237,15 @@ def load_vocabulary(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast((file.read(), newer_letters()))
 
 
-def bpe_encode(frame: DataFrame, vocabulary: Broadcast, column: str = "text", ids: str = "ids") -> DataFrame:
-    """The frame with ``ids`` (array of int) beside its columns; a column of that name is replaced."""
+def bpe_encode(
+    frame: DataFrame, vocabulary: Broadcast, column: str = "text", ids: str = "ids",
+    decoded: str | None = None,
+) -> DataFrame:
+    """The frame with ``ids`` (array of int) beside its columns; a column of that name is replaced.
+
+    ``decoded`` names one more column: the text that the ids decode to, by the worker
+    that made them, so that no second worker need hold the vocabulary.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _vocabulary(vocabulary.value)
@@ -248,20 +255,24 @@ def bpe_encode(frame: DataFrame, vocabulary: Broadcast, column: str = "text", id
             for one in encoded:
                 offsets.append(offsets[-1] + len(one))
             values = pa.array(list(chain.from_iterable(encoded)), pa.int32())
-            made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, ids])
+            made = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)]
+            if decoded is not None:
+                made.append(pa.array(map(tool.decode, encoded), pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
-    frame = frame.drop(ids)
-    return frame.mapInArrow(run, widened(frame, f"{ids} array<int>"))
+    names = [ids] if decoded is None else [ids, decoded]
+    frame = frame.drop(*names)
+    kinds = f"{ids} array<int>" if decoded is None else f"{ids} array<int>, {decoded} string"
+    return frame.mapInArrow(run, widened(frame, kinds))
 
 
 def bpe_decode(vocabulary: Broadcast, ids: Column) -> Column:
     """Text of an array of ids, special tokens included; null ids give null."""
 
-    @F.pandas_udf("string")
-    def decoded(column: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def decoded(column: pa.Array) -> pa.Array:
         tool = _vocabulary(vocabulary.value)
-        return column.map(lambda one: None if one is None else tool.decode(one.tolist()))
+        return pa.array((None if one is None else tool.decode(one) for one in column.to_pylist()), pa.string())
 
     return decoded(ids)
 

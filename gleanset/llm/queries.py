@@ -95,13 +95,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.load_vocabulary(spark, public_tokenizers.path(BPE_FILE))
-    encoded = bpe.bpe_encode(_documents(spark, sf_dir).select("doc_id", "text"), vocabulary)
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    encoded = bpe.bpe_encode(documents, vocabulary, decoded="decoded")
     ids = F.col("ids")
     return encoded.select(
         "doc_id",
         F.size(ids).cast("bigint").alias("n_tokens"),
         bpe.text_digest(ids).alias("ids_sha256"),
-        F.sha2(bpe.bpe_decode(vocabulary, ids).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
