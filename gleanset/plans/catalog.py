@@ -53,6 +53,10 @@ def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_posts(stored_posts(spark, sf))
 
 
+def all_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.clean_posts(D.posts(spark, sf))
+
+
 def settings(**changes) -> R.RunSettings:
     base = {
         "communities": D.TEST_COMMUNITIES,
@@ -151,7 +155,7 @@ def global_search(spark, sf):
 @query
 def csv_scan(spark, sf):
     path = scratch_path(spark, "csv")
-    sink.create_store(spark, path, "csv", stored_rows(spark, sf))
+    sink.create_store(spark, path, "csv", all_rows(spark, sf))
     return src.csv_scan(spark, f"{path}/run={sink.FIRST_RUN}")
 
 
@@ -172,14 +176,14 @@ def grid_scan(spark, sf):
 @query
 def snapshot_read(spark, sf):
     path = scratch_path(spark, "grid")
-    sink.create_store(spark, path, "sheets", stored_rows(spark, sf))
+    sink.create_store(spark, path, "sheets", all_rows(spark, sf))
     return src.snapshot_read(spark, path, "sheets").select("id", "selftext")
 
 
 @query
 def backend_choice(spark, sf):
     """The same rows through both backends."""
-    rows = durable(stored_rows(spark, sf))
+    rows = durable(all_rows(spark, sf))
     counts = []
     for name in (" CSV ", "Sheets"):
         path = scratch_path(spark, "backend")
@@ -484,7 +488,7 @@ def store_audit(spark, sf):
 
 @query
 def existence_sets(spark, sf):
-    ids, texts = dedup.existence_sets(stored_rows(spark, sf))
+    ids, texts = dedup.existence_sets(all_rows(spark, sf))
     tagged = [
         ids.select(F.lit("id").alias("kind"), F.col("id_key").alias("key")),
         texts.select(F.lit("text").alias("kind"), F.col("text_key").alias("key")),

@@ -270,13 +270,13 @@ def all_oracles() -> dict[str, str]:
             f"SELECT batch::INTEGER AS batch, rank, post_id, created_utc, {LISTS} FROM passed "
             "QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY batch, rank) = 1",
         ),
-        "csv_scan": with_posts(CLEAN, f"SELECT {SOURCE_LIST}, {CSV_BLANKS} FROM stored"),
+        "csv_scan": with_posts(CLEAN, f"SELECT {SOURCE_LIST}, {CSV_BLANKS} FROM clean"),
         "grid_scan": with_posts(CLEAN, f"SELECT {SOURCE_LIST}, {GRID_BLANKS} FROM clean"),
-        "snapshot_read": with_posts(CLEAN, "SELECT id, selftext FROM stored"),
+        "snapshot_read": with_posts(CLEAN, "SELECT id, selftext FROM clean"),
         "backend_choice": with_posts(
             CLEAN,
             f"SELECT backend, n_columns::INTEGER AS n_columns, count(*) AS n_rows, "
-            f"count(DISTINCT selftext) AS n_bodies FROM stored, "
+            f"count(DISTINCT selftext) AS n_bodies FROM clean, "
             f"(VALUES ('csv', 13), ('sheets', {len(GRID_COLUMNS)})) AS b(backend, n_columns) "
             "GROUP BY ALL",
         ),
@@ -418,8 +418,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "existence_sets": with_posts(
             CLEAN,
-            "SELECT DISTINCT 'id' AS kind, id AS key FROM stored WHERE id <> '' UNION ALL "
-            "SELECT DISTINCT 'text', to_base64(unhex(sha256(selftext))) FROM stored "
+            "SELECT DISTINCT 'id' AS kind, id AS key FROM clean WHERE id <> '' UNION ALL "
+            "SELECT DISTINCT 'text', to_base64(unhex(sha256(selftext))) FROM clean "
             "WHERE selftext <> ''",
         ),
         "distinct_by_id": (
