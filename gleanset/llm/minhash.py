@@ -7,12 +7,13 @@ filled after twice as many rounds at the latest.  Equal bins estimate the Jaccar
 similarity with the concentration of independent draws, at a cost that does not grow with the bins.
 
 Texts with equal shingle sets form a class, and only classes go on.  Classes that agree
-in a band meet in a bucket.  Every class is compared, on full sets, with the least ones of its
-buckets, one first and then four times as many per round, as long as they are in other components.
-Buckets that still hold different components go on in rounds: one class outside the main
-component, then four times as many, is compared with all classes of other components and leaves
-the bucket.  So no two classes of a bucket remain uncompared unless they are in one
-component already, and a group of copies is not expanded into all its pairs.
+in a band meet in a bucket; of buckets with the same classes one stays.  Every class is compared,
+on full sets, with the least ones of its buckets, one first and then four more.
+Buckets that still hold different components are dealt into blocks of a bounded number of
+shingles.  A task has two blocks (or one twice) and compares, on full sets, the classes that are
+in different components; main component and main component never meet.  So no two classes of a
+bucket remain uncompared unless they are in one component, no pair is written out
+but for links, and a task's memory depends on no bucket's size.
 
 With the defaults a pair of similarity 0.8 shares no band with a probability of 3e-6.
 
@@ -38,6 +39,10 @@ from gleanset.plans.durable import durable
 
 BINS = 256
 BAND_ROWS = 6
+# How many of the least classes of its buckets a class is compared with, before buckets are looked at whole.
+STAR_WIDTHS = (1, 4)
+# Shingles of a block, so that a task that compares two of them holds some 16 MB (or one longest text more).
+BLOCK_SHINGLES = 1 << 20
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -147,8 +152,12 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     least = (
         rows.groupBy("bucket")
-        .agg(F.min(F.struct("rep", "n")).alias("least"), F.count(F.lit(1)).alias("many"))
-        .where("many > 1").select("bucket", "least")
+        .agg(F.min(F.struct("rep", "n")).alias("least"), F.count(F.lit(1)).alias("many"),
+             F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"),
+             F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"))
+        .where("many > 1")
+        .groupBy("many", "s1", "s2", "least").agg(F.min("bucket").alias("bucket"))  # the same classes
+        .select("bucket", "least")
     )
     # Stored first: Spark splits a join's large key only where both sides come from a shuffle.
     least = stored(least, "bucket-least")
@@ -164,9 +173,8 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     sets = stored(_sets(chosen, size).dropDuplicates(["key"]), "shingle-sets")
     links = tested = star.limit(0)
 
-    # Each class with the least of its buckets: with one of them first, then with four times as many.
-    width = 1
-    while True:
+    # Each class with the least of its buckets: with one of them first, then with four more.
+    for width in STAR_WIDTHS:
         found = durable(components(links))
         apart = _other_component(star, found).join(tested, ["a", "b"], "left_anti")
         place = F.row_number().over(Window.partitionBy("b").orderBy("a"))
@@ -175,44 +183,101 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
             break
         tested = tested.unionByName(pairs)
         links = stored(links.unionByName(_similar(pairs, sets, percent)), "links")
-        width *= 4
 
     # Buckets that still hold several components.
-    rest, width = members.select("bucket", "rep", "n"), 1
-    while True:
-        component = found.select(F.col("id").alias("rep"), "component")
-        placed = rest.join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        split = durable(
-            placed.groupBy("bucket")
-            .agg(F.min("component").alias("main"), F.max("component").alias("last"))
-            .where("main <> last").select("bucket", "main")
-        )
-        placed = stored(placed.join(split, "bucket"), "split-buckets")
-        if not placed.take(1):
-            return links
-        order = Window.partitionBy("bucket").orderBy("rep")
-        centers = durable(
-            placed.where("component <> main").withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= width)
-            .select("bucket", F.col("rep").alias("center"), F.col("n").alias("nc"),
-                    F.col("component").alias("other"))
-        )
-        pairs = stored(
-            placed.join(centers, "bucket").where("component <> other")
-            .select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"),
-                    F.col("n").alias("na"), F.col("nc").alias("nb"))
-            .where(_size_allows(percent)).select("a", "b").distinct()
-            .join(tested, ["a", "b"], "left_anti"),
-            "bucket-pairs",
-        )
-        tested = tested.unionByName(pairs)
-        links = stored(links.unionByName(_similar(pairs, sets, percent)), "links")
-        rest = stored(
-            placed.join(centers.select("bucket", F.col("center").alias("rep")), ["bucket", "rep"], "left_anti")
-            .select("bucket", "rep", "n"), "open-buckets",
+    component = durable(components(links)).select(F.col("id").alias("rep"), "component")
+    placed = (
+        members.select("bucket", "rep", "n").join(component, "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
+    )
+    split = durable(
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("main"), F.max("component").alias("last"))
+        .where("main <> last").select("bucket", "main")
+    )
+    placed = stored(
+        placed.join(split, "bucket").withColumn("is_main", F.col("component") == F.col("main")).drop("main"),
+        "split-buckets",
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        return _links_between_blocks(group, percent)
+
+    within = (
+        _meetings(placed).join(sets.select(F.col("key").alias("rep"), "shingles"), "rep")
+        .groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    )
+    return links.unionByName(within.distinct())
+
+
+def _meetings(placed: DataFrame) -> DataFrame:
+    """Members of buckets, once for each pair of blocks ``(i, j)`` that they take part in.
+
+    Blocks ``0:others`` hold what is outside the main component, and blocks from there
+    on what is inside; a bucket of few shingles is one block.
+    """
+    weight = F.sum("n")
+    many = lambda inside: F.ceil(F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES)
+    blocks = durable(
+        placed.groupBy("bucket")
+        .agg(weight.alias("weight"), many(~F.col("is_main")).alias("others"), many(F.col("is_main")).alias("mains"))
+        .select(
+            "bucket",
+            F.when(F.col("weight") <= BLOCK_SHINGLES, 1).otherwise(F.col("others")).cast("int").alias("others"),
+            F.when(F.col("weight") <= BLOCK_SHINGLES, 0).otherwise(F.col("mains")).cast("int").alias("mains"),
         )
-        found = durable(components(links))
-        width *= 4
+    )
+    dealt = F.xxhash64("rep")
+    block = F.when(F.col("is_main") & (F.col("mains") > 0), F.col("others") + F.pmod(dealt, F.greatest("mains", F.lit(1))))
+    block = block.otherwise(F.pmod(dealt, F.col("others"))).cast("int")
+    last = F.when(F.col("block") < F.col("others"), F.col("others") + F.col("mains") - 1).otherwise(F.col("others") - 1)
+    pairs = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")),
+    )
+    return (
+        placed.join(blocks, "bucket").withColumn("block", block)
+        .select("bucket", "rep", "component", "is_main", "block", F.explode(pairs).alias("pair"))
+        .select("bucket", "pair.i", "pair.j", "rep", "component", "is_main", "block")
+    )
+
+
+def _links_between_blocks(group: pa.Table, percent: int) -> pa.Table:
+    """Links ``(a, b)`` that join the components of two blocks, or of one, on full sets."""
+    group = group.sort_by([("block", "ascending"), ("is_main", "ascending"), ("rep", "ascending")])
+    rep, component, block = (group.column(c).to_numpy().copy() for c in ("rep", "component", "block"))
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    shingles = group.column("shingles").combine_chunks()
+    size = shingles.value_lengths().to_numpy().astype(np.int64)
+    first = np.cumsum(size) - size
+    known, place = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+    mark = np.zeros(len(known), np.int8)
+    centers = np.flatnonzero((block == i) & ~group.column("is_main").to_numpy())
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+    for c in centers:
+        begin = c + 1 if i == j else int(np.searchsorted(block, j))
+        fits = 100 * np.minimum(size[begin:], size[c]) >= percent * np.maximum(size[begin:], size[c])
+        others = np.flatnonzero(fits & (component[begin:] != component[c])) + begin
+        if not len(others):
+            continue
+        own = place[first[c] : first[c] + size[c]]
+        mark[own] = 1
+        much = size[others]
+        if 3 * much.sum() > len(place) - first[begin]:
+            counted = np.add.reduceat(mark[place[first[begin] :]], first[begin:] - first[begin], dtype=np.int64)
+            common = counted[others - begin]
+        else:
+            starts = np.cumsum(much) - much
+            at = np.arange(much.sum()) + np.repeat(first[others] - starts, much)
+            common = np.add.reduceat(mark[place[at]], starts, dtype=np.int64)
+        mark[own] = 0
+        near = others[100 * common >= percent * (size[c] + much - common)]
+        joined, one_of = np.unique(component[near], return_index=True)
+        if len(joined):
+            links.append((np.full(len(joined), rep[c]), rep[near[one_of]]))
+            component[np.isin(component, joined)] = component[c]
+    ends = [np.concatenate(x) for x in zip(*links)] or [np.zeros(0, np.int64)] * 2
+    return pa.table({"a": ends[0], "b": ends[1]})
 
 
 def near_duplicates(
