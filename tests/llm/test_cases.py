@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -143,6 +144,40 @@ def test_near_copy_cases(spark, edits):
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [40, 400, 1 << 20])
+def test_blocks_of_a_bucket_miss_no_link(spark, monkeypatch, most):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", most)
+    draw = np.random.default_rng(most)
+    base = draw.integers(0, 1 << 60, 40)
+    sets = [np.unique(np.where(draw.random(40) < draw.choice([0.05, 0.12]), draw.integers(0, 1 << 60, 40), base))
+            for _ in range(50)]
+    members = [(bucket, k, len(sets[k]), k, k == 0) for bucket, keys in ((5, range(50)), (9, (0, 7))) for k in keys]
+    placed = spark.createDataFrame(members, "bucket bigint, rep bigint, n bigint, component bigint, is_main boolean")
+    groups = {}
+    for r in minhash._meetings(placed).collect():
+        groups.setdefault((r.bucket, r.i, r.j), []).append(r.asDict() | {"shingles": sets[r.rep].tolist()})
+    if most < 1000:
+        assert len(groups) > 3
+    links = [
+        pair for group in groups.values()
+        for pair in minhash._links_between_blocks(pa.Table.from_pylist(group), 80).to_pylist()
+    ]
+    similar = {
+        (a, b) for a in range(50) for b in range(50)
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert all((x["a"], x["b"]) in similar for x in links)
+
+    def groups_of(pairs):
+        own = list(range(50))
+        for _ in range(50):
+            for a, b in pairs:
+                own[a] = own[b] = min(own[a], own[b])
+        return own
+
+    assert groups_of([(x["a"], x["b"]) for x in links]) == groups_of(similar)
+
+
 def test_sketches_fill_every_bin_and_estimate():
     draw = np.random.default_rng(1)
     a = np.sort(draw.integers(0, 2**63, 900).astype(np.uint64))
