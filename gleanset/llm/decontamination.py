@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-One pass over the texts looks up the word trigrams of the test items and cuts out the
-passage around each place where an item's trigrams fall on one line of the alignment.
-The documents each trigram occurs in are counted over all texts; per item the rarer half
-of its trigrams are seeds, and passages are joined to items by seeds.  Each passage
-is aligned with its item word by word, and the share of the greatest possible score is kept.
+One pass over the texts looks up the word trigrams of the test items, cuts out the
+passage around each place where an item's trigrams fall on one line of the alignment, and
+aligns it with its item word by word; the share of the greatest possible score is kept.
+Every trigram of an item is a seed, common ones too: an edited copy may keep no other.
+Only passages with too few of the item's words to reach the score are not aligned.
 
 Items are the stated query set: they are sent to the tasks in blocks of bounded size, so any
 number of items works.  Words are runs of ASCII letters, digits and other characters
@@ -83,8 +83,10 @@ def _items(keys: tuple, texts: tuple) -> _Items:
     return _Items(list(keys), list(texts))
 
 
-def _passages(words: np.ndarray, at: np.ndarray, items: _Items) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """Item, first and last word, and trigrams of each passage; ``at`` are hits in one text."""
+def _passages(
+    words: np.ndarray, at: np.ndarray, items: _Items, min_score: float
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Item and words of each passage; ``at`` are hits in one text."""
     grams = ngram_hashes(words, SEED_WORDS)[at]
     low = np.searchsorted(items.grams, grams)
     high = np.searchsorted(items.grams, grams, side="right")
@@ -92,21 +94,23 @@ def _passages(words: np.ndarray, at: np.ndarray, items: _Items) -> Iterator[tupl
     which = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
     item, begin = items.item[which], at[take] - items.place[which]
     order = np.lexsort((begin, item))
-    item, begin, gram = item[order], begin[order], grams[take][order]
+    item, begin = item[order], begin[order]
     length = np.array([len(w) for w in items.words])
-    # One passage while the expected beginnings lie within an item's length of each other.
-    cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(begin) > length[item[1:]])) + 1
+    # More words than this cannot be put into an item by a copy that reaches the score.
+    most = np.ceil(MATCH * length * (1 - min_score) / -GAP).astype(np.int64)
+    reach = np.maximum(length, most)
+    # One passage while the expected beginnings lie so close to each other.
+    cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(begin) > reach[item[1:]])) + 1
     for a, b in zip([0, *cut], [*cut, len(item)]):
-        n = int(length[item[a]])
-        slack = n // 2 + SEED_WORDS
-        first = max(0, int(begin[a]) - slack)
-        last = min(len(words), int(begin[b - 1]) + n + slack)
-        yield int(item[a]), first, last, np.unique(gram[a:b])
+        i = int(item[a])
+        first = max(0, int(begin[a]) - int(most[i]))
+        last = min(len(words), int(begin[b - 1]) + int(length[i] + most[i]))
+        yield i, words[first:last]
 
 
-def _hits(texts: DataFrame, key: str, text: str, keys: tuple, bodies: tuple) -> DataFrame:
-    """Per text one row with all its item trigrams, and one per passage with its words' hashes."""
-    shared = texts.sparkSession.sparkContext.broadcast((keys, bodies))
+def _scores(texts: DataFrame, key: str, text: str, item_key: str, block: tuple, min_score: float) -> DataFrame:
+    """Key, item and score of each passage that reaches the score, in one pass over the texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _items(*shared.value)
@@ -120,54 +124,30 @@ def _hits(texts: DataFrame, key: str, text: str, keys: tuple, bodies: tuple) ->
             text_of = np.searchsorted(found.first, maybe, side="right") - 1
             inside = maybe + SEED_WORDS <= found.first[text_of + 1]
             maybe, text_of = maybe[inside], text_of[inside]
-            rows, item_keys, seeds, words = [], [], [], []
+            rows, item_keys, scores = [], [], []
             for i in np.unique(text_of):
                 at = maybe[text_of == i] - found.first[i]
                 own = found.hashes[found.first[i] : found.first[i + 1]]
-                rows.append(i)
-                item_keys.append(None)
-                seeds.append(np.unique(ngram_hashes(own, SEED_WORDS)[at]).view(np.int64))
-                words.append(np.zeros(0, np.int64))
-                for item, first, last, gram in _passages(own, at, items):
-                    rows.append(i)
-                    item_keys.append(items.keys[item])
-                    seeds.append(gram.view(np.int64))
-                    words.append(own[first:last].view(np.int64))
-            longs = pa.list_(pa.int64())
+                for item, passage in _passages(own, at, items, min_score):
+                    query = items.words[item]
+                    if np.isin(query, passage).mean() < min_score:
+                        continue
+                    score = alignment(query, passage) / (MATCH * len(query))
+                    if score >= min_score:
+                        rows.append(i)
+                        item_keys.append(items.keys[item])
+                        scores.append(score)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key").take(pa.array(rows, pa.int64())), pa.array(item_keys, pa.int64()),
-                 pa.array(seeds, longs), pa.array(words, longs)],
-                ["_key", "_item", "_seeds", "_words"],
+                 pa.array(scores, pa.float64())],
+                [key, item_key, "score"],
             )
 
     return texts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        run, "_key bigint, _item bigint, _seeds array<bigint>, _words array<bigint>"
+        run, f"{key} bigint, {item_key} bigint, score double"
     )
 
 
-def _seeds(hits: DataFrame, keys: tuple, bodies: tuple) -> DataFrame:
-    """The rarer half of each item's trigrams by the documents of all texts they occur in."""
-    spark = hits.sparkSession
-    block = _items(keys, bodies)
-    known = spark.createDataFrame(
-        [(int(block.keys[i]), int(g), int(p)) for i, g, p in
-         zip(block.item, block.grams.view(np.int64), block.place)],
-        "_item bigint, _seed bigint, _place bigint",
-    )
-    spread = (
-        hits.where("_item is null").select(F.explode("_seeds").alias("_seed"))
-        .groupBy("_seed").agg(F.count(F.lit(1)).alias("_texts"))
-    )
-    # An item's trigrams are few, so ordering them is work of one row.
-    ranked = (
-        known.join(spread, "_seed", "left").groupBy("_item").agg(
-            F.array_sort(F.collect_list(F.struct(
-                F.coalesce("_texts", F.lit(0)).alias("n"), "_place", "_seed"))).alias("order"))
-    )
-    half = F.slice("order", 1, F.ceil(F.size("order") / 2).cast("int"))
-    return ranked.select("_item", F.transform(half, lambda x: x["_seed"]).alias("_rare"))
-
-
 def _blocks(items: DataFrame, key: str, text: str) -> Iterator[tuple[tuple, tuple]]:
     """Items in blocks of bounded size, read one partition at a time."""
     keys, bodies, size = [], [], 0
@@ -191,34 +171,10 @@ def find_leaks(
     out = texts.sparkSession.createDataFrame(
         [], f"{key} bigint, {item_key} bigint, score double"
     )
-    for keys, bodies in _blocks(items, item_key, item_text):
-        hits = stored(_hits(texts, key, text, keys, bodies), "leak-hits")
-        passages = (
-            hits.where("_item is not null").join(F.broadcast(_seeds(hits, keys, bodies)), "_item")
-            .where(F.arrays_overlap("_seeds", "_rare"))
-        )
-        shared = texts.sparkSession.sparkContext.broadcast((keys, bodies))
-
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = _items(*shared.value)
-            words = {}
-            for k, one in zip(block.keys, block.words):
-                words.setdefault(k, []).append(one.view(np.int64))
-            for batch in batches:
-                scores = []
-                for k, row in zip(batch.column("_item").to_pylist(), batch.column("_words")):
-                    passage = row.values.to_numpy(zero_copy_only=False)
-                    scores.append(max(
-                        alignment(w, passage) / (MATCH * len(w)) if len(w) else 0.0 for w in words[k]
-                    ))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_key"), batch.column("_item"), pa.array(scores, pa.float64())],
-                    [key, item_key, "score"],
-                )
-
-        found = passages.select("_key", "_item", "_words").mapInArrow(score, out.schema)
-        best = found.where(F.col("score") >= min_score).groupBy(key, item_key).agg(F.max("score").alias("score"))
-        out = out.unionByName(best)
+    for block in _blocks(items, item_key, item_text):
+        found = _scores(texts, key, text, item_key, block, min_score)
+        best = found.groupBy(key, item_key).agg(F.max("score").alias("score"))
+        out = out.unionByName(stored(best, "leaks"))
     return out
 
 

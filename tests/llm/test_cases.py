@@ -130,6 +130,28 @@ def test_leak_cases(spark):
     assert find_leaks(frame.limit(0), items).count() == 0 == find_leaks(frame, items.limit(0)).count()
 
 
+def test_edited_leaks_are_found_whatever_trigrams_they_keep(spark):
+    draw = random.Random(11)
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(59))) for i in range(30)]
+
+    def edit(text, change):
+        return " ".join("new%d" % j if change(j) else w for j, w in enumerate(text.split()))
+
+    changes = {100: lambda j: j % 5 == 4, 200: lambda j: j % 6 == 5, 300: lambda j: draw.random() < 0.2,
+               400: lambda j: draw.random() < 0.1}
+    copies = [(base + i, edit(t, change)) for base, change in changes.items() for i, t in items]
+    # Words put in before the first trigram that is left: the passage reaches far to the left of it.
+    w = items[0][1].split()
+    pairs = [x for j in range(0, 46, 2) for x in (w[j], w[j + 1], f"in{j}")]
+    copies.append((500, " ".join(pairs + w[46:])))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    for rows in (copies, copies + items):
+        got = {(r.doc_id, r.item_id): r.score for r in find_leaks(docs(spark, rows), table).collect()}
+        want = plain.leaks(rows, items)
+        assert got == pytest.approx(want)
+        assert {(100 + i, i) for i in range(30)} | {(200 + i, i) for i in range(30)} | {(500, 0)} <= set(want)
+
+
 @pytest.mark.parametrize("edits", [3, 9])
 def test_near_copy_cases(spark, edits):
     texts = [t for seed in range(4) for t in family(seed, 25, 60, edits)]
