@@ -5,8 +5,13 @@ both sides.  The upper levels are fitted on a bounded sample and broadcast; leav
 are still large are split on in the same way inside their task.  Vectors are compared
 within leaves only, in double precision, and pairs found in several trees count once.
 
-A dense group would fill a leaf in every tree.  So pivots of dense groups are found in the
-sample first: members within half the linking angle of a pivot are linked with each other by
+Equal vectors are folded into one node with the number of their ids as its weight, so a
+hot vector is placed and compared once.  An id with several vectors is a node by itself.
+
+A dense group would fill a leaf in every tree.  So pivots of dense groups are found first:
+in a bounded sample of all nodes, drawn by hash, and then in a sample of each leaf of one tree,
+which shows groups that hold more of a leaf than can be split or compared.  Members within
+half the linking angle of a pivot are linked with each other by
 the triangle inequality, and are counted, not compared.  In a leaf they are compared only with
 vectors outside their group, in as many parts as their number asks for.  Pivots are so far apart
 that members of two groups cannot be linked.
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanset.llm.components import components
-from gleanset.llm.tables import stored
+from gleanset.llm.tables import small_enough, stored
 
 MIN_COSINE = 0.95
 TREES = 8
@@ -37,6 +42,9 @@ LEAF_VECTORS = 400
 SAMPLE_VECTORS = 65_536
 PIVOT_SAMPLE = 8_192
 PIVOT_NEIGHBOURS = 12
+# Vectors a leaf's sample is cut to, and pivots compared with at a time.
+LEAF_SAMPLE = 1_024
+PIVOTS_AT_A_TIME = 4_096
 OVERLAP = 0.1
 # Members of dense groups in one part of a leaf.
 PART_VECTORS = 4_000
@@ -106,20 +114,41 @@ def fit_forest(sample: np.ndarray, total: int, trees: int, leaf: int, seed: int
     return forest
 
 
-def find_pivots(sample: np.ndarray, min_cosine: float) -> np.ndarray:
-    """Vectors of the sample with many others within half the linking angle, far from each other."""
+def find_pivots(sample: np.ndarray, min_cosine: float, least: int = PIVOT_NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample with many others within half the linking angle, far from each other, and how many."""
     reach = _half(min_cosine)
-    apart = math.cos(2 * math.acos(min_cosine)) - 1e-6
     many = np.zeros(len(sample), np.int64)
     for at in range(0, len(sample), 1024):
         many[at : at + 1024] = (sample[at : at + 1024] @ sample.T >= reach).sum(1) - 1
-    pivots: list[int] = []
-    for i in np.argsort(-many, kind="stable"):
-        if many[i] < PIVOT_NEIGHBOURS:
-            break
-        if not pivots or (sample[pivots] @ sample[i]).max() < apart:
-            pivots.append(int(i))
-    return sample[pivots]
+    crowded = np.flatnonzero(many >= least)
+    crowded = crowded[np.argsort(-many[crowded], kind="stable")]
+    chosen = crowded[far_apart(sample[crowded], sample[:0], min_cosine)]
+    return sample[chosen], many[chosen]
+
+
+def far_apart(candidates: np.ndarray, pivots: np.ndarray, min_cosine: float) -> list[int]:
+    """The candidates, first come first, that are too far from all pivots and each other to have linked members."""
+    apart = math.cos(2 * math.acos(min_cosine)) - 1e-6
+    chosen: list[int] = []
+    near = np.zeros(len(candidates), bool)
+    for at in range(0, len(pivots), PIVOTS_AT_A_TIME):
+        near |= (candidates @ pivots[at : at + PIVOTS_AT_A_TIME].T >= apart).any(1)
+    for i in range(len(candidates)):
+        if not near[i]:
+            chosen.append(i)
+            near |= candidates @ candidates[i] >= apart
+    return chosen
+
+
+def _balls(vectors: np.ndarray, pivots: np.ndarray, min_cosine: float) -> np.ndarray:
+    """The pivot within half the linking angle of each vector, or -1."""
+    ball, closest = np.full(len(vectors), -1, np.int64), np.full(len(vectors), _half(min_cosine))
+    for at in range(0, len(pivots), PIVOTS_AT_A_TIME):
+        near = vectors @ pivots[at : at + PIVOTS_AT_A_TIME].T
+        best = near.argmax(1)
+        value = near[np.arange(len(vectors)), best]
+        ball, closest = np.where(value >= closest, best + at, ball), np.maximum(value, closest)
+    return ball
 
 
 def _half(min_cosine: float) -> float:
@@ -180,15 +209,87 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return unit(np.stack(column.to_numpy()).astype(np.float64))
 
 
+def _folded(usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes ``(id, v)`` of different vectors, and members ``(id, node)``.
+
+    A node is named by the least id of its equal vectors.  Ids with several vectors keep a node
+    of their own with all of these, so a name stands for the same ids wherever it occurs.
+    """
+    coded = usable.withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(1), "v"))
+    known = stored(coded.select("id", "h1", "h2").distinct(), "vector-digests")
+    several = stored(known.groupBy("id").count().where("count > 1").select("id", F.col("id").alias("own")), "vector-ids")
+    tagged = coded.join(small_enough(several), "id", "left")
+    nodes = stored(
+        tagged.groupBy("own", "h1", "h2").agg(F.min("id").alias("id"), F.any_value("v").alias("v"))
+        .select("id", "v", "own", "h1", "h2"), "vector-nodes",
+    )
+    names = nodes.where("own is null").select("h1", "h2", F.col("id").alias("node"))
+    members = (
+        known.join(several, "id", "left_anti").join(names, ["h1", "h2"]).select("id", "node")
+        .unionByName(several.select("id", F.col("own").alias("node")))
+    )
+    return nodes.select("id", "v"), stored(members, "vector-members")
+
+
+def _leaf_pivots(
+    rows: DataFrame, total: int, forest: Forest, pivots: np.ndarray, min_cosine: float, leaf: int
+) -> np.ndarray:
+    """Further pivots: centres of groups with so many vectors in a leaf of the first tree that they fill half of one.
+
+    Medians cut a group of many leaves' size, so some leaf is filled by it, however many vectors there are.
+    """
+    levels = len(forest.directions[0])
+    share = min(1.0, LEAF_SAMPLE * (1 << levels) / max(1, total))
+    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 30)) < int((1 << 30) * share))
+    shared = rows.sparkSession.sparkContext.broadcast((forest, pivots))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest, pivots = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), 2000):
+                some = batch.iloc[at : at + 2000]
+                vectors = _matrix(some["v"])
+                lone = np.flatnonzero(_balls(vectors, pivots, min_cosine) < 0)
+                held, nodes = forest.leaves(vectors[lone], 0)
+                yield pd.DataFrame({"node": nodes, "v": some["v"].to_numpy()[lone[held]]})
+
+    def crowded(group: pd.DataFrame) -> pd.DataFrame:
+        # In an order that does not depend on the tasks the rows came from.
+        vectors = _matrix(group["v"])
+        vectors = vectors[np.lexsort(vectors.T[:3])]
+        size = len(vectors)
+        if size > 4 * LEAF_SAMPLE:
+            vectors = vectors[np.random.default_rng(5).permutation(size)[: 4 * LEAF_SAMPLE]]
+        scale = size / len(vectors) / share
+        found, many = find_pivots(vectors, min_cosine, max(PIVOT_NEIGHBOURS, math.ceil(leaf / 2 / scale)))
+        return pd.DataFrame({"v": pd.Series(list(found), dtype=object), "many": (many * scale).astype(np.int64)})
+
+    found = (
+        drawn.mapInPandas(place, "node bigint, v array<double>")
+        .groupBy("node").applyInPandas(crowded, "v array<double>, many bigint").toPandas()
+    )
+    if not len(found):
+        return pivots
+    candidates = np.stack(found["v"].to_numpy()).astype(np.float64)
+    order = np.lexsort((candidates[:, 0], -found["many"].to_numpy()))
+    candidates = candidates[order]
+    return np.concatenate([pivots, candidates[far_apart(candidates, pivots, min_cosine)]])
+
+
 def _length_links(rows: DataFrame, total: int, min_cosine: float, trees: int, leaf: int) -> tuple[DataFrame, DataFrame]:
     """Pairs ``(a, b)`` and members ``(id, ball)`` among vectors of one length."""
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     share = int((1 << 30) * min(1.0, SAMPLE_VECTORS / total))
-    drawn = rows.where(draw < share).select("v").limit(2 * SAMPLE_VECTORS).toPandas()
+    drawn = rows.where(draw < share).select("v", F.xxhash64("id", F.lit(1)).alias("rank"))
+    drawn = drawn.limit(2 * SAMPLE_VECTORS).toPandas()
+    # By hash, so that any part of the sample is a sample too.
+    drawn = drawn.sort_values("rank", kind="stable")
     # A table of equal draws may leave the sample empty; then there is one leaf.
     sample = _matrix(drawn["v"]) if len(drawn) else np.zeros((0, 1))
-    pivots = find_pivots(sample[:PIVOT_SAMPLE], min_cosine)
     forest = fit_forest(sample, total, trees if len(sample) else 1, leaf)
+    pivots, _ = find_pivots(sample[:PIVOT_SAMPLE], min_cosine)
+    if len(sample):
+        pivots = _leaf_pivots(rows, total, forest, pivots, min_cosine, leaf)
     shared = rows.sparkSession.sparkContext.broadcast((forest, pivots))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,11 +298,7 @@ def _length_links(rows: DataFrame, total: int, min_cosine: float, trees: int, le
             for at in range(0, len(batch), 2000):
                 some = batch.iloc[at : at + 2000]
                 vectors = _matrix(some["v"])
-                ball = np.full(len(some), -1, np.int64)
-                if len(pivots):
-                    near = vectors @ pivots.T
-                    best = near.argmax(1)
-                    ball = np.where(near[np.arange(len(some)), best] >= _half(min_cosine), best, -1)
+                ball = _balls(vectors, pivots, min_cosine)
                 for tree in range(len(forest.low)):
                     held, nodes = forest.leaves(vectors, tree) if len(forest.directions[tree]) else (
                         np.arange(len(some)), np.zeros(len(some), np.int64))
@@ -246,7 +343,7 @@ def near_vectors(
 ) -> DataFrame:
     """One row per vector: its key, ``n_links``, ``component_id`` and ``kept``."""
     spark = frame.sparkSession
-    usable = _usable(frame, key, vector)
+    usable, folded = _folded(_usable(frame, key, vector))
     lengths = usable.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("many"))
     lengths = lengths.limit(MOST_LENGTHS + 1).collect()
     if len(lengths) > MOST_LENGTHS:
@@ -261,22 +358,30 @@ def near_vectors(
             balls.select("id", F.concat_ws("-", F.lit(row["n"]), "ball").alias("ball"))
         )
     pairs = stored(pairs, "vector-pairs")
-    sizes = members.groupBy("ball").agg(
-        F.count(F.lit(1)).alias("size"), F.min("id").alias("least")
+    weights = stored(folded.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "node-weights")
+    weighted = members.join(weights, F.col("id") == F.col("node")).drop("node")
+    sizes = weighted.groupBy("ball").agg(
+        F.sum("weight").alias("size"), F.min("id").alias("least")
     )
-    # There are at most as many dense groups as the bounded sample has pivots.
-    dense = stored(members.join(F.broadcast(sizes), "ball"), "dense-members")
+    # There are at most as many dense groups as pivots, which are on the driver.
+    dense = stored(weighted.join(F.broadcast(sizes), "ball"), "dense-members")
     edges = pairs.unionByName(dense.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")))
     linked = components(edges)
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Ids linked with a node: the members of its neighbours, and of its dense group or itself but one.
     direct = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        .groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-        .unionByName(dense.select("id", (F.col("size") - 1).alias("n")))
+        ends.join(weights, F.col("b") == F.col("node")).select(F.col("a").alias("id"), F.col("weight").alias("n"))
+        .unionByName(dense.select("id", (F.col("size") - F.col("weight")).alias("n")))
+        .unionByName(weights.select(F.col("node").alias("id"), (F.col("weight") - 1).alias("n")))
         .groupBy("id").agg(F.sum("n").alias("n"))
     )
+    # Stored first: Spark splits a join's large key only where both sides come from a shuffle.
+    told = stored(direct.join(linked, "id", "left").select(
+        F.col("id").alias("node"), F.coalesce("component", "id").alias("component"), "n"), "node-links")
+    found = folded.join(told, "node").select("id", "component", "n")
     answer = (
         frame.select(F.col(key).cast("bigint").alias("id"))
-        .join(linked, "id", "left").join(direct, "id", "left")
+        .join(found, "id", "left")
     )
     component = F.coalesce("component", "id")
     return answer.select(

@@ -116,6 +116,41 @@ def test_vector_cases(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_equal_vectors_and_ids_with_several_vectors(spark):
+    draw = np.random.default_rng(8)
+    one, two, far = draw.standard_normal((3, 16))
+    near = lambda v: (v + 0.01 * draw.standard_normal(16)).tolist()
+    rows = [(i, one.tolist()) for i in range(100, 160)] + [(i, near(one)) for i in range(40, 45)]
+    rows += [(i, two.tolist()) for i in range(300, 303)] + [(7, two.tolist()), (7, near(one)), (7, two.tolist())]
+    rows += [(8, far.tolist()), (8, far.tolist()), (9, (4 * far).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    linked = {k: set() for k, _ in rows}
+    for k, v in rows:
+        for m, w in rows:
+            if m != k and np.dot(v, w) >= 0.95 * np.linalg.norm(v) * np.linalg.norm(w):
+                linked[k].add(m)
+    want = {k: (len(x), 8 if k in (8, 9) else 7) for k, x in linked.items()}
+    got = vectors.near_vectors(frame, leaf=50).collect()
+    assert len(got) == len(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
+def test_dense_groups_are_found_wherever_they_are_stored(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    lone = draw.standard_normal((9_000, 16))
+    hot = draw.standard_normal(16) + 1e-4 * draw.standard_normal((600, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([lone, hot]))]
+    frame = spark.createDataFrame(rows, "id bigint, v array<double>").coalesce(1)
+    for part in (8_192, 64):  # 64 show no group; then the leaves do
+        monkeypatch.setattr(vectors, "PIVOT_SAMPLE", part)
+        pairs, balls = vectors._length_links(frame, len(rows), 0.95, 8, 400)
+        held = {r.id for r in balls.collect()}
+        assert set(range(9_000, 9_600)) <= held
+        assert pairs.where("a >= 9000 and b >= 9000").count() == 0
+    got = vectors.near_vectors(frame, "id", "v").where("id >= 9000").collect()
+    assert {r.component_id for r in got} == {9_000} and {r.n_links for r in got} == {599}
+
+
 def test_leak_cases(spark):
     items = spark.createDataFrame(
         [(1, "one two three four five six seven eight"), (2, "a b"), (3, None), (None, "p q r s"), (4, "")],
