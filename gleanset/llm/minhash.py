@@ -20,7 +20,7 @@ With the defaults a pair of similarity 0.8 shares no band with a probability of
 Cases: texts without words (null, empty, blank) have an empty set and are linked with
 nothing.  Texts of fewer words than a shingle have their whole sequence as their one
 shingle.  Rows without a key are linked with nothing; their component is null.  Rows that
-share a key count as one vertex.  Shingles are compared by 64-bit hashes.
+share a key count as one vertex, also if their texts differ.  Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -91,6 +91,17 @@ def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return keys
 
 
+def _digests(values: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    """Size and 128-bit digest ``n, h1, h2`` of each set."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values ^ np.uint64(0x5BF03635)), out=sums[1:])
+    return [
+        pa.array(np.diff(offsets)),
+        pa.array(range_hashes(values, offsets[:-1], offsets[1:]).view(np.int64)),
+        pa.array((sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64)),
+    ]
+
+
 def _signatures(texts: DataFrame, size: int) -> DataFrame:
     """Key, set size, 128-bit digest of the set, and bands of each text."""
 
@@ -98,16 +109,11 @@ def _signatures(texts: DataFrame, size: int) -> DataFrame:
         for batch in slices(batches, "text"):
             values, offsets = shingle_sets(batch_words(batch, "text", lower=True), size)
             keys = band_keys(sketches(values, offsets))
-            sums = np.zeros(len(values) + 1, np.uint64)
-            np.cumsum(mix(values ^ np.uint64(0x5BF03635)), out=sums[1:])
             bands = pa.FixedSizeListArray.from_arrays(
                 pa.array(keys.view(np.int64).ravel()), keys.shape[1]
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(np.diff(offsets)),
-                 pa.array(range_hashes(values, offsets[:-1], offsets[1:]).view(np.int64)),
-                 pa.array((sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64)),
-                 bands.cast(pa.list_(pa.int64()))],
+                [batch.column("key"), *_digests(values, offsets), bands.cast(pa.list_(pa.int64()))],
                 ["key", "n", "h1", "h2", "bands"],
             )
 
@@ -121,9 +127,36 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
             made = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(values.view(np.int64))
             )
-            yield pa.RecordBatch.from_arrays([batch.column("key"), made], ["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([*_digests(values, offsets), made], ["n", "h1", "h2", "shingles"])
+
+    return texts.mapInArrow(run, "n bigint, h1 bigint, h2 bigint, shingles array<bigint>")
 
-    return texts.mapInArrow(run, "key bigint, shingles array<bigint>")
+
+def _classes(usable: DataFrame) -> DataFrame:
+    """One row per set: ``n, h1, h2``, its ``least`` key, its name ``rep``, and bands.
+
+    The name is the least key that has no other set.  A set whose keys all have others too
+    is named by a number that is neither a key nor another set's name.
+    """
+    known = usable.select("key", "n", "h1", "h2").distinct()
+    several = stored(known.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("several")), "shared-keys")
+    named = usable.join(small_enough(several), "key", "left")
+    classes = stored(
+        named.groupBy("n", "h1", "h2")
+        .agg(F.min("key").alias("least"), F.min(F.when(F.col("several").isNull(), F.col("key"))).alias("rep"),
+             F.min_by("bands", "key").alias("bands")), "classes"
+    )
+    unnamed = classes.where("rep is null").select("n", "h1", "h2")
+    many = unnamed.count()
+    if not many:
+        return classes
+    keys = usable.select("key")
+    for salt in range(64):
+        number = F.xxhash64(F.lit(salt), "n", "h1", "h2")
+        drawn = unnamed.select(number.alias("key")).distinct()
+        if drawn.count() == many and not drawn.join(keys, "key", "left_semi").take(1):
+            return stored(classes.withColumn("rep", F.coalesce("rep", number)), "named-classes")
+    raise RuntimeError("no free names for sets of shared keys")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -168,9 +201,15 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         .where(F.col("a") != F.col("b")).where(_size_allows(percent)).select("a", "b").distinct(),
         "bucket-stars",
     )
-    wanted = stored(members.select(F.col("rep").alias("key")).distinct(), "bucket-classes")
-    chosen = texts.where("key is not null").join(small_enough(wanted), "key", "left_semi")
-    sets = stored(_sets(chosen, size).dropDuplicates(["key"]), "shingle-sets")
+    wanted = stored(
+        members.select("rep").distinct().join(classes.select("rep", "least", "n", "h1", "h2"), "rep"), "bucket-classes"
+    )
+    carriers = wanted.select(F.col("least").alias("key")).distinct()
+    chosen = texts.where("key is not null").join(small_enough(carriers), "key", "left_semi")
+    names = wanted.select("n", "h1", "h2", F.col("rep").alias("key"))
+    # A key may have several sets: the digest tells whose set it is.
+    sets = _sets(chosen, size).dropDuplicates(["n", "h1", "h2"]).join(names, ["n", "h1", "h2"])
+    sets = stored(sets.select("key", "shingles"), "shingle-sets")
     links = tested = star.limit(0)
 
     # Each class with the least of its buckets: with one of them first, then with four more.
@@ -288,13 +327,14 @@ def near_duplicates(
     named = texts.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     signed = stored(_signatures(named, shingle_words), "signatures")
     usable = signed.where("key is not null and n > 0")
-    classes = stored(
-        usable.groupBy("n", "h1", "h2")
-        .agg(F.min("key").alias("rep"), F.min_by("bands", "key").alias("bands")), "classes"
-    )
+    classes = _classes(usable)
     links = _links(named, classes, shingle_words, percent)
-    copies = usable.join(classes.drop("bands"), ["n", "h1", "h2"]).where("key <> rep")
-    linked = components(links.unionByName(copies.select(F.col("rep").alias("a"), F.col("key").alias("b"))))
+    names = classes.where("rep <> least").select("rep", "least")
+    for end in ("a", "b"):
+        own = names.select(F.col("rep").alias(end), "least")
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("least", end)).select("a", "b")
+    copies = usable.join(classes.select("n", "h1", "h2", "least"), ["n", "h1", "h2"]).where("key <> least")
+    linked = components(links.unionByName(copies.select(F.col("least").alias("a"), F.col("key").alias("b"))))
     answer = signed.select("key", "n").join(
         linked.select(F.col("id").alias("key"), "component"), "key", "left"
     )

@@ -201,6 +201,17 @@ def test_near_copy_cases(spark, edits):
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_an_id_with_different_texts_keeps_the_links_of_each(spark):
+    texts = [family(seed, 2, 60, 0)[0] for seed in range(70, 76)]
+    rows = [(1, t) for t in texts] + [(10 + i, t + " more") for i, t in enumerate(texts)]
+    rows += [(2, texts[0]), (30, "quite other words than these"), (31, "quite other words than those there")]
+    got = minhash.near_duplicates(docs(spark, rows), shingle_words=4).collect()
+    assert len(got) == len(rows)
+    want = {k: 1 if k < 30 else k for k, _ in rows}
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
 @pytest.mark.parametrize("most", [40, 400, 1 << 20])
 def test_blocks_of_a_bucket_miss_no_link(spark, monkeypatch, most):
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", most)
