@@ -10,13 +10,16 @@ also starts anywhere else is removed.  All windows are judged on the input.
 2. Stretches with a recurring anchor are told apart by a 128-bit digest, counted, and one
    copy of each is cut out of its text and sent to the shard of its anchor.
 3. A shard compiles the windows that its counts say recur into an Aho-Corasick automaton
-   over words, and streams all its stretches through it.  Only windows that the automaton
-   finds twice or more, word by word, count.
-4. What is covered goes back to every occurrence of a stretch and is merged per text.
+   over words, and streams its stretches, one copy of each, through it.  Windows that the
+   automaton finds twice or more, word by word, count; a copy counts as often as its
+   stretch occurs.
+4. What is covered goes back, by a join on the digest, to every occurrence of a stretch
+   and is merged per text.  The automata do not see the other occurrences.
 
 Shards hold a bounded number of stretches.  An anchor with more of its own (one passage in
 very many different surroundings) is dealt over several shards; its windows are then counted
-beforehand, by part in every task, and each shard gets those that recur.
+beforehand by their 64-bit hashes, by part in every task, and each shard gets those that recur.
+These count by that hash alone, not word by word.
 
 Texts are known by a 128-bit digest, so rows without an id, with the same id, or with equal texts need no
 care.  Cases: a null text has no words and stays null; texts of fewer words than a window
