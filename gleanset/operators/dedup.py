@@ -35,10 +35,22 @@ SLICE_ROWS = 100_000
 SAMPLE_ROWS = 10_000
 
 
-def _private(prefix: str, other: Column) -> Column:
+def free_names(columns: Sequence[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column has, however its letters are cased."""
+    taken = {c.lower() for c in columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def _private(prefix: str, place: Column, other: Column) -> Column:
     """A key for rows whose own key is blank: shared only by rows alike in order and other key."""
-    place = F.to_json(F.struct("place"), {"ignoreNullFields": "false"})
-    return F.concat(F.lit("\u0000" + prefix), place, other)
+    told = F.to_json(F.struct(place.alias("place")), {"ignoreNullFields": "false"})
+    return F.concat(F.lit("\u0000" + prefix), told, other)
 
 
 def id_key(column: str = "id") -> Column:
@@ -69,21 +81,23 @@ def existence_sets(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
 def anti_id(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose id is blank or not stored."""
     ids, _ = existence_sets(stored)
-    return _anti(rows.withColumn("_key", id_key()), ids.toDF("_key"), hot_rows)
+    return _anti(rows, id_key(), ids, hot_rows)
 
 
 def anti_text(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose body is blank or not stored, byte for byte."""
     _, texts = existence_sets(stored)
-    return _anti(rows.withColumn("_key", text_key()), texts.toDF("_key"), hot_rows)
+    return _anti(rows, text_key(), texts, hot_rows)
 
 
-def _anti(keyed: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame:
+def _anti(rows: DataFrame, value: Column, taken: DataFrame, hot_rows: int) -> DataFrame:
     """Rows with a blank key, which go past the join, and rows whose key is not taken."""
-    blank = keyed.where(F.col("_key").isNull())
-    named = keyed.where(F.col("_key").isNotNull())
-    hot = _hot_keys(_hot_sample(named.select("_key"), named.count(), hot_rows), "_key")
-    return _without(named, taken, "_key", hot).unionByName(blank).drop("_key")
+    (key,) = free_names(rows.columns, "_key")
+    keyed = rows.withColumn(key, value)
+    blank = keyed.where(F.col(key).isNull())
+    named = keyed.where(F.col(key).isNotNull())
+    hot = _hot_keys(_hot_sample(named.select(key), named.count(), hot_rows), key)
+    return _without(named, taken.toDF(key), key, hot).unionByName(blank).drop(key)
 
 
 def _hot_sample(rows: DataFrame, total: int, hot_rows: int) -> tuple[DataFrame, int] | None:
@@ -259,15 +273,18 @@ def ordered_dedup(
     travel, and the bodies of rows that occur more than once.
     """
     both_blank = id_key().isNull() & text_key().isNull()
-    named = rows.where(~both_blank).withColumn("place", F.struct(*order)).withColumns(
-        {"_id": id_key(), "_text": text_key()}
+    ord_, place, own_id, own_text = free_names(rows.columns, "ord", "place", "id_key", "text_key")
+    named = rows.where(~both_blank).withColumn(place, F.struct(*order)).withColumns(
+        {own_id: id_key(), own_text: text_key()}
     ).withColumns({
-        "_id": F.coalesce("_id", _private("i", F.col("_text"))),
-        "_text": F.coalesce("_text", _private("t", F.col("_id"))),
+        own_id: F.coalesce(own_id, _private("i", F.col(place), F.col(own_text))),
+        own_text: F.coalesce(own_text, _private("t", F.col(place), F.col(own_id))),
     })
-    ordinal = F.struct("place", F.col("_id").alias("id_key"), F.col("_text").alias("text_key"))
-    ordered = named.withColumn("ord", ordinal).drop("place", "_id", "_text")
-    keyed = ordered.select("ord", "ord.id_key", "ord.text_key")
+    ordinal = F.struct(
+        F.col(place).alias("place"), F.col(own_id).alias("id_key"), F.col(own_text).alias("text_key")
+    )
+    ordered = named.withColumn(ord_, ordinal).drop(place, own_id, own_text)
+    keyed = ordered.select(F.col(ord_).alias("ord")).select("ord", "ord.id_key", "ord.text_key")
     # Of rows alike in both keys only the first can be kept; copies fold before the shuffle.
     pairs = durable(
         keyed.groupBy("id_key", "text_key")
@@ -292,10 +309,10 @@ def ordered_dedup(
         hot_texts=hot_texts,
     )
     repeated = pairs.where("copies > 1").select("ord")
-    once = kept.select("ord").join(repeated, "ord", "left_anti")
-    several = kept.select("ord").join(repeated, "ord", "left_semi")
+    once = kept.select("ord").join(repeated, "ord", "left_anti").toDF(ord_)
+    several = kept.select("ord").join(repeated, "ord", "left_semi").toDF(ord_)
     if total <= BROADCAST_ROWS:
         once, several = F.broadcast(once), F.broadcast(several)
-    single = ordered.join(once, "ord", "left_semi")
-    folded = ordered.join(several, "ord", "left_semi").dropDuplicates(["ord"])
-    return single.unionByName(folded).drop("ord").unionByName(rows.where(both_blank))
+    single = ordered.join(once, ord_, "left_semi")
+    folded = ordered.join(several, ord_, "left_semi").dropDuplicates([ord_])
+    return single.unionByName(folded).drop(ord_).unionByName(rows.where(both_blank))

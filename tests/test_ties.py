@@ -83,3 +83,18 @@ def test_crlf_store_keeps_header_line_end_and_rows_per_file(spark, tmp_path):
     assert len(files) == 4
     assert all(f.read_bytes().endswith(b"\r\n") for f in files)
     assert src.snapshot_read(spark, path, "csv").count() == 40
+
+
+@pytest.mark.parametrize("name", ["place", "ord", "_id", "_text", "_key", "id_key", "text_key", "ORD"])
+def test_columns_of_the_caller_stay(spark, name):
+    rows = [("1", "x", 1, "a"), ("1", "y", 2, "b"), ("2", "x", 3, "c"), ("", "z", 4, "d"), ("", "", 5, "e")]
+    frame = spark.createDataFrame(rows, f"id string, selftext string, day int, `{name}` string")
+    old = spark.createDataFrame([("2", "x")], "id string, selftext string")
+    for how, days in (
+        (dedup.ordered_dedup(frame, None, ["day"]), [1, 4, 5]),
+        (dedup.ordered_dedup(frame, None, [name]), [1, 4, 5]),
+        (dedup.anti_id(frame, old), [1, 2, 4, 5]),
+        (dedup.anti_text(frame, old), [2, 4, 5]),
+    ):
+        assert how.columns == frame.columns
+        assert sorted((r["day"], r[name]) for r in how.collect()) == [(r[2], r[3]) for r in rows if r[2] in days]
