@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanset.llm import bpe, chat_format, language_id, line_dedup, minhash, substring_dedup
-from gleanset.llm import token_counts, vectors, warc
+from gleanset.llm import bpe, centroids, chat_format, language_id, line_dedup, merkle, minhash, mixing
+from gleanset.llm import substring_dedup, token_counts, vectors, warc
 from gleanset.llm.decontamination import find_leaks
 from gleanset.llm.tables import spread, table
 
@@ -106,11 +106,39 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = centroids.cluster_vectors(spread(table(spark, sf_dir, "embeddings"), "vec_id"))
+    return told.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("key"), F.col("lang").alias("group"), merkle.row_digest([*fields, "text"]).alias("leaf"),
+        F.when(tampered, merkle.row_digest([*fields, lowered])).alias("claim"),
+    )
+    told = merkle.manifest(leaves)
+    folded = merkle.folded_root(F.coalesce("claim", "leaf"), F.col("path"))
+    return told.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return told.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
             op1_substring_dedup, op2_line_dedup, op3_chat_format, op4_warc, op5_embedding_dedup,
-            op6_decontamination, op7_minhash, op8_language_id, op9_token_counts, op10_bpe,
+            op6_decontamination, op7_minhash, op8_language_id, op9_token_counts, op10_bpe, op11_centroids,
+            op12_merkle, op13_mixing,
         )
     }

@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import math
+import zlib
 import re
 import zlib
 from collections import Counter
@@ -139,3 +141,89 @@ def leaks(texts, items, least=0.6):
 
 def held_out(key):
     return zlib.crc32(str(key).encode()) % 4 == 2
+
+
+def centroid_rows(vectors, clusters=8, rounds=10):
+    """Plain k-means over whole-number vectors, one Python integer at a time."""
+    kept = [
+        (k, [math.floor(1024 * float(x)) for x in v]) for k, v in vectors
+        if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    drawn = sorted(kept, key=lambda r: (sha(f"3:{'' if r[0] is None else r[0]}"), r[1]))
+    centroids = [v for _, v in drawn[:clusters]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), i) for i, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = [[] for _ in centroids]
+        for _, v in kept:
+            own[nearest(v)[1]].append(v)
+        centroids = [
+            [sum(x) // len(held) for x in zip(*held)] if held else c for held, c in zip(own, centroids)
+        ]
+    told = [(k, *nearest(v)) for k, v in kept]
+    inertia = [sum(d for _, d, c in told if c == i) for i in range(len(centroids))]
+    return sorted(
+        ((k, c, d, inertia[c], sum(inertia), sha(",".join(map(str, centroids[c])))) for k, d, c in told), key=repr
+    )
+
+
+def merkle_rows(documents, fanout=8):
+    """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` by lists and loops."""
+
+    def field(value):
+        return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+    def leaf(row):
+        return sha("".join(map(field, row)))
+
+    def tree(nodes):
+        """Root, and per node the (left, right) siblings of every level."""
+        paths, spots, level = [[] for _ in nodes], list(range(len(nodes))), nodes
+        while len(level) > 1:
+            for path, at in zip(paths, spots):
+                start = at - at % fanout
+                path.append(("".join(level[start:at]), "".join(level[at + 1 : start + fanout])))
+            level = [sha("".join(level[i : i + fanout])) for i in range(0, len(level), fanout)]
+            spots = [at // fanout for at in spots]
+        return level[0], paths
+
+    small = {c: c + 32 for c in range(65, 91)}
+    groups = {}
+    for row in documents:
+        doc_id, source, lang, n_chars, text = row
+        tampered = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0
+        claim = leaf((doc_id, source, lang, n_chars, text.translate(small) if text is not None and tampered else text))
+        groups.setdefault(lang, []).append((doc_id is not None, doc_id, leaf(row), claim))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: (sorted(groups[g], key=lambda r: (r[0], r[1] or 0, r[2]))) for g in order}
+    roots = {g: tree([r[2] for r in trees[g]]) for g in order}
+    if not order:
+        return []
+    root, tops = tree([roots[g][0] for g in order])
+    rows = []
+    for g, top in zip(order, tops):
+        for (_, doc_id, own, claim), path in zip(trees[g], roots[g][1]):
+            now = claim
+            for left, right in path + top:
+                now = sha(left + now + right)
+            proof = sha("".join(a + b for a, b in path + top))
+            rows.append((doc_id, own, roots[g][0], root, proof, now, now == root))
+    return sorted(rows, key=repr)
+
+
+def mix_targets(sizes, weights=(1, 2, 3), most=3):
+    """Targets per source: shares by weight, cut at the most, the excess shared anew until none is above."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target = dict.fromkeys(order, 0.0)
+    left, free = float(sum(sizes.values())), list(order)
+    while free and left > 1e-9:
+        each = left / sum(weight[s] for s in free)
+        for s in free:
+            target[s] += each * weight[s]
+        left = sum(max(0.0, target[s] - most * sizes[s]) for s in free)
+        target = {s: min(t, float(most * sizes[s])) for s, t in target.items()}
+        free = [s for s in free if target[s] < most * sizes[s]]
+    return target

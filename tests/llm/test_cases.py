@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+import string
 
 import numpy as np
 import public_tokenizers
@@ -9,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanset.llm import bpe, chat_format, language_id, line_dedup, minhash, substring_dedup
-from gleanset.llm import token_counts, vectors, warc, words
+from gleanset.llm import bpe, centroids, chat_format, language_id, line_dedup, merkle, minhash, mixing, places
+from gleanset.llm import substring_dedup, token_counts, vectors, warc, words
 from gleanset.llm.components import components
 from gleanset.llm.decontamination import drop_leaks, find_leaks
 
@@ -288,3 +289,119 @@ def test_components_of_a_long_chain(spark):
     loose = spark.createDataFrame([(500, 501), (501, 500), (7, 7), (None, 3)], "a bigint, b bigint")
     found = {r.id: r.component for r in components(chain.unionByName(loose)).collect()}
     assert found == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_places_and_stretches(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice(["hot", "hot", "hot", "b", None]), draw.choice([None, 1, 2, 3, i])) for i in range(500)]
+    frame = spark.createDataFrame(rows, "grp string, day int").repartition(7)
+    sorted_rows, stretches = places.sorted_stretches(frame, ["grp"], ["day"], "test-places")
+    found = places.placed(sorted_rows, stretches, ["grp"]).collect()
+    for name in {g for g, _ in rows}:
+        own = sorted((r for r in found if r.grp == name), key=lambda r: r.place)
+        assert [r.place for r in own] == list(range(len(own))) and {r.total for r in own} == {len(own)}
+        days = [(r.day is not None, r.day or 0) for r in own]
+        assert days == sorted(days)
+
+
+def test_centroid_cases(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(60, 64)).astype(np.float32).tolist()
+    rows = [(i, v) for i, v in enumerate(base)] + [(7, base[7]), (None, base[3]), (100, None), (101, []), (102, base[0][:63])]
+    rows += [(103, [None] * 64), (104, [float("nan")] * 64), (105, [float("inf")] * 64), (106, [0.0] * 64)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, embedding array<float>, id string, cluster int")
+    want = plain.centroid_rows(rows)
+    for how in ({}, {"width": 1}, {"width": 7, "chunk_rows": 5}):
+        got = centroids.cluster_vectors(frame, **how)
+        columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert sorted((tuple(r) for r in got.select(*columns).collect()), key=repr) == want
+    few = frame.where("vec_id < 3")
+    assert sorted(r.cluster for r in centroids.cluster_vectors(few).collect()) == [0, 1, 2]
+    assert centroids.cluster_vectors(frame.limit(0)).count() == 0
+    # Equal vectors under several ids leave clusters empty, and the first of equally near ones wins.
+    same = spark.createDataFrame([(i, [0.5] * 64) for i in range(20)], "vec_id bigint, embedding array<float>")
+    assert {(r.cluster, r.distance) for r in centroids.cluster_vectors(same).collect()} == {(0, 0)}
+    far = spark.createDataFrame([(1, [1e30] * 64)], "vec_id bigint, embedding array<float>")
+    with pytest.raises(ValueError, match="beyond"):
+        centroids.cluster_vectors(far)
+
+
+def test_subvectors_come_back_from_their_codes():
+    vectors = np.random.default_rng(1).integers(-3, 3, (200, 13))
+    books, codes = centroids.encode(vectors, 4)
+    told = [np.frombuffer(b, np.int32).reshape(-1, w)[np.frombuffer(c, np.uint32)]
+            for b, c, w in zip(books, codes, (4, 4, 4, 1))]
+    assert np.array_equal(np.concatenate(told, axis=1), vectors)
+    assert len(np.frombuffer(books[3], np.int32)) == 6  # six distinct numbers, each kept once
+
+
+MERKLE = "doc_id bigint, source string, lang string, n_chars bigint, text string"
+
+
+def merkle_of(spark, rows):
+    frame = spark.createDataFrame(rows, MERKLE).withColumns({"g": F.lit(1), "place": F.lit("x"), "leaf": F.lit(2)})
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    low = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    leaves = frame.select(
+        F.col("doc_id").alias("key"), F.col("lang").alias("group"), merkle.row_digest([*fields, "text"]).alias("leaf"),
+        F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.row_digest([*fields, low])).alias("claim"),
+    )
+    found = merkle.manifest(leaves)
+    folded = merkle.folded_root(F.coalesce("claim", "leaf"), F.col("path"))
+    return sorted((tuple(r) for r in found.select(
+        "key", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")), folded, folded == F.col("root")
+    ).collect()), key=repr)
+
+
+@pytest.mark.parametrize("case", ["lone", "one_group", "mixed", "many_groups", "empty"])
+def test_merkle_cases(spark, case):
+    rows = {
+        "lone": [(5, None, None, None, None)],
+        "one_group": [(i, "s", "en", i, f"Text {i}") for i in range(9)],
+        "mixed": [(i, None if i % 5 else "", "en", None, f"T É {i}") for i in range(73)]
+        + [(1, "s", None, 1, ""), (1, "s", None, 1, ""), (None, "s", None, 1, None), (2, "s", "", 0, LONG.upper())]
+        + [(3, "s", "é", 0, "A"), (4, "s", "z", 0, "A"), (4, "s", "z", 0, "A"), (4, "s", "z", 0, "B")],
+        "many_groups": [(i, "s", f"l{i // 2}", i, "X") for i in range(41)],
+        "empty": [],
+    }[case]
+    assert merkle_of(spark, rows) == plain.merkle_rows(rows)
+
+
+def test_mixing_cases(spark):
+    rows = [(i, "hot", "w " * (i % 40 + 1)) for i in range(900)] + [(i % 4, None, "a b c") for i in range(30)]
+    rows += [(None, "nulls", f"x{i} y") for i in range(40)] + [(1, "long", LONG), (2, "long", "x"), (3, "none", None), (4, "none", " \t")]
+    frame = spark.createDataFrame([(*r, 1, "y") for r in rows], "doc_id bigint, source string, text string, size int, place string")
+    sizes = {}
+    for _, source, text in rows:
+        sizes[source] = sizes.get(source, 0) + len((text or "").split())
+    targets = plain.mix_targets(sizes)
+    for how in ({}, {"block_rows": 64}):
+        found = mixing.mix(frame, **how)
+        assert found.columns == ["doc_id", "size", "source_size", "target", "copies", "taken"]
+        got = found.collect()
+        assert len(got) == len(rows)
+        assert all(r.taken == r.size * r.copies and 0 <= r.copies <= 3 for r in got)
+        taken = {}
+        for r in got:
+            taken[r.source_size, round(r.target, 6)] = taken.get((r.source_size, round(r.target, 6)), 0) + r.taken
+        for source in ("hot", None, "nulls"):
+            # the sizes of equal documents bound how near whole copies can come
+            assert taken[sizes[source], round(targets[source], 6)] == pytest.approx(targets[source], abs=3)
+        assert taken[0, 0.0] == 0
+        assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix(frame, **how).collect()))
+    assert mixing.mix(frame.limit(0)).count() == 0
+
+
+def test_flight_keeps_both_totals_and_every_expectation():
+    draw = np.random.default_rng(2)
+    sizes = draw.integers(1, 50, 30).tolist()
+    shares = np.full(30, 0.3)
+    runs = []
+    for seed in range(2000):
+        now = np.array(mixing.fly(sizes, shares.tolist(), 2, np.random.default_rng(seed)))
+        assert np.count_nonzero((now > 0) & (now < 1)) <= 2
+        assert now.sum() == pytest.approx(9.0) and now @ sizes == pytest.approx(0.3 * sum(sizes))
+        runs.append(now)
+    assert np.abs(np.mean(runs, axis=0) - 0.3).max() < 0.06
+    assert mixing.land([5, 5, 9], [0.5, 0.5, 1.0]) == [1.0, 0.0, 1.0]
+    assert all(x in (0.0, 1.0) for x in mixing.land(*[[7] * 16, [0.4] * 16]))

@@ -1,6 +1,8 @@
 """Every named query against plain rules, a library, or SQL, over whole tables."""
 
+import math
 import os
+import re
 from pathlib import Path
 
 import duckdb
@@ -139,3 +141,42 @@ def test_pipeline(spark):
     result = corpus_pipeline.run(spark, str(SF)).collect()
     assert {r.doc_id: r.n_tokens for r in result} == want
     assert all(r.round_trip for r in result)
+
+
+def test_centroids(spark):
+    found = [
+        (r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256)
+        for r in run(spark, "op11_centroids")
+    ]
+    assert sorted(found, key=repr) == plain.centroid_rows(rows("embeddings", "vec_id, embedding"))
+
+
+def test_merkle(spark):
+    found = sorted((tuple(r) for r in run(spark, "op12_merkle")), key=repr)
+    assert found == plain.merkle_rows(rows("documents", "doc_id, source, lang, n_chars, text"))
+    assert {r[-1] for r in found} == {True, False}
+
+
+def test_mixing(spark):
+    documents = {k: (s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for k, s, t in
+                 rows("documents", "doc_id, source, text")}
+    sizes = {}
+    for source, size in documents.values():
+        sizes[source] = sizes.get(source, 0) + size
+    targets = plain.mix_targets(sizes)
+    found = run(spark, "op13_mixing")
+    assert {r.doc_id for r in found} == set(documents)
+    taken, counts, wanted = {}, {}, {}
+    for r in found:
+        source, size = documents[r.doc_id]
+        assert (r.size, r.source_size) == (size, sizes[source])
+        assert r.target == pytest.approx(targets[source])
+        rate = r.target / r.source_size
+        assert r.taken in {size * math.floor(rate), size * math.ceil(rate)}
+        taken[source] = taken.get(source, 0) + r.taken
+        counts[source] = counts.get(source, 0) + r.taken // max(size, 1)
+        wanted[source] = wanted.get(source, 0) + (rate if size else 0)
+    for source, words in taken.items():
+        assert words == pytest.approx(targets[source], rel=0.02)
+        assert counts[source] == pytest.approx(wanted[source], abs=2)
+    assert sorted(found) == sorted(run(spark, "op13_mixing"))
