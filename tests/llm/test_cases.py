@@ -385,8 +385,9 @@ def test_mixing_cases(spark):
         for r in got:
             taken[r.source_size, round(r.target, 6)] = taken.get((r.source_size, round(r.target, 6)), 0) + r.taken
         for source in ("hot", None, "nulls"):
-            # the sizes of equal documents bound how near whole copies can come
-            assert taken[sizes[source], round(targets[source], 6)] == pytest.approx(targets[source], abs=3)
+            # the largest documents are landed: half of one bounds how near whole copies come
+            half = 20 if source == "hot" else 2
+            assert taken[sizes[source], round(targets[source], 6)] == pytest.approx(targets[source], abs=half)
         assert taken[0, 0.0] == 0
         assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix(frame, **how).collect()))
     assert mixing.mix(frame.limit(0)).count() == 0
