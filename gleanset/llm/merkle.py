@@ -101,11 +101,19 @@ def _children(parents: DataFrame, fanout: int) -> DataFrame:
     )
 
 
-def _descend(levels: list[DataFrame], tops: DataFrame, fanout: int, name: str) -> DataFrame | None:
-    """Leaves of the levels with their paths; ``tops`` has ``(g, carry, path)`` of each group's root."""
+def _no_path() -> Column:
+    return F.array().cast("array<struct<left string, right string>>")
+
+
+def _descend(levels: list[DataFrame], tops: DataFrame | None, fanout: int, name: str) -> DataFrame | None:
+    """Leaves of the levels with their paths; ``tops`` has ``(g, carry, path)`` of each group's root.
+
+    Without ``tops`` the levels are those of a single group, whose root ends every path.
+    """
     below = None
     for depth, wide in reversed(list(enumerate(levels))):
-        own = wide.where("n = 1").join(tops, "g")
+        own = wide.where("n = 1")
+        own = own.withColumns({"carry": F.lit(""), "path": _no_path()}) if tops is None else own.join(tops, "g")
         if below is not None:
             known = below.select("g", "place", "carry", "path")
             own = own.unionByName(wide.where("n > 1").join(known, ["g", "place"]).select(own.columns))
@@ -127,7 +135,8 @@ def manifest(leaves: DataFrame, fanout: int = FANOUT) -> DataFrame:
         leaves = leaves.withColumn("claim", F.lit(None).cast("string"))
     # A null group sorts before the empty one.
     named = F.coalesce(F.concat(F.lit("+"), F.col("group").cast("string")), F.lit(""))
-    rows = leaves.select(named.alias("g"), "key", "leaf", "claim")
+    # Stored first, since a sort by range reads its input twice, and here that may be whole texts.
+    rows = stored(leaves.select(named.alias("g"), "key", "leaf", "claim"), "merkle-digests")
     kind = "key {}, leaf string, claim string, subroot string, root string, path array<struct<left string, right string>>"
     rows, stretches = sorted_stretches(rows, ["g"], ["key", "leaf"], "merkle-leaves")
     most = stretches.agg(F.max("total")).first()[0]
@@ -146,13 +155,9 @@ def manifest(leaves: DataFrame, fanout: int = FANOUT) -> DataFrame:
     )
     crown, last = _grow(heads, groups, fanout, "merkle-top")
     root = last.first()["digest"]  # one row
-    none = F.array().cast("array<struct<left string, right string>>")
-    start = heads.where("n = 1") if groups == 1 else _descend(
-        crown, spark.range(1).select(F.lit("").alias("g"), F.lit("").alias("carry"), none.alias("path")),
-        fanout, "merkle-top",
-    )
-    if groups == 1:
-        start = start.withColumn("path", none)
+    start = _descend(crown, None, fanout, "merkle-top")
+    if start is None:  # a lone group
+        start = heads.withColumn("path", _no_path())
     known = stored(
         start.select(F.col("node.key").alias("g"), F.col("node.digest").alias("carry"), "path"), "merkle-paths"
     )

@@ -170,7 +170,8 @@ def mix(
     if block_rows < 2 * landing:
         raise ValueError("a block must hold at least two landings")
     sized = frame.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    sized = sized.withColumn("draw", F.xxhash64("key"))
+    # Stored first, since a sort by range reads its input twice.
+    sized = stored(sized.withColumn("draw", F.xxhash64("key")), "mixing-words")
     rows, stretches = sorted_stretches(sized, ["source"], ["size", "draw", "key"], "mixing-sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(totals, weights, most), "mixing-targets")
