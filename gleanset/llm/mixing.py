@@ -34,7 +34,7 @@ from gleanset.llm.tables import small_enough, stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 LANDING = 16
 
 
@@ -88,8 +88,8 @@ def fly(sizes: Sequence[float], shares: Sequence[float], leave: int, draw: np.ra
 def land(sizes: Sequence[float], shares: Sequence[float]) -> list[float]:
     """Undecided shares rounded, so that words and documents come nearest to their sums.
 
-    A document too many weighs as much as the words of a mean one; of equally good
-    ways the first in binary order is taken.
+    Words come first: a document too many weighs as much as a hundredth of a mean one's words.
+    Of equally good ways the first in binary order is taken.
     """
     now = list(map(float, shares))
     spots = [i for i, share in enumerate(now) if 0.0 < share < 1.0]
@@ -100,7 +100,7 @@ def land(sizes: Sequence[float], shares: Sequence[float]) -> list[float]:
     ways = (np.arange(1 << len(spots))[:, None] >> np.arange(len(spots))) & 1
     words = np.abs(ways @ size - share @ size) / max(size.mean(), 1.0)
     documents = np.abs(ways.sum(1) - share.sum())
-    best = ways[np.argmin(words + documents)]
+    best = ways[np.argmin(words + documents / 100)]
     for i, taken in zip(spots, best.tolist(), strict=True):
         now[i] = float(taken)
     return now

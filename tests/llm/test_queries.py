@@ -178,5 +178,5 @@ def test_mixing(spark):
         wanted[source] = wanted.get(source, 0) + (rate if size else 0)
     for source, words in taken.items():
         assert words == pytest.approx(targets[source], rel=0.02)
-        assert counts[source] == pytest.approx(wanted[source], abs=2)
+        assert counts[source] == pytest.approx(wanted[source], abs=8)  # half a landing
     assert sorted(found) == sorted(run(spark, "op13_mixing"))
