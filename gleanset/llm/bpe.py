@@ -1,12 +1,12 @@
 """Byte-pair encoding and decoding with a public vocabulary, inside Spark tasks.
 
-Method: a pair occurrence index.  The distinct words of a slice of a partition are
-laid out, some thousands at a time, as one linked list of token ids.  An index maps every pair that has a
-merge rule to all positions where it occurs; the active pair of the lowest rank
-is applied at all its positions from left to right, and the pairs around each
-merged position are put into the index (pairs that went are passed over).  Words are then looked
-up, so a word costs one pass of the merges, however often it occurs; a Python
-worker keeps a bounded number of words from task to task.
+Method: a pair occurrence index.  The distinct words of a slice of a partition are laid
+out as one linked list of token ids, in arrays.  An index maps every pair that has a merge rule
+to all positions where it occurs; active ranks are taken in ascending order, a rank's pair is
+merged at all its positions at once, and the pairs around the merged positions are put
+into the index (pairs that went are passed over).  Texts are then put together from their words' ids, so a
+word costs one pass of the merges, however often a slice holds it.  A slice's memory is
+let go with it; nothing but the vocabulary outlives it in a worker.
 
 A null text has no tokens, as an empty one.  Texts of any length are encoded
 whole.  The strings of added tokens (such as ``<|endoftext|>``) are found in texts
@@ -21,8 +21,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -47,11 +47,11 @@ LATIN_PATTERN = (
     rf"|[{_LATIN[r'\s']}]+(?![^{_LATIN[r'\s']}])|[{_LATIN[r'\s']}]+"
 )
 
-# Words in one index, so that it stays in the processor's cache.
-INDEXED_WORDS = 3_000
+# Bytes of text in a slice, whose distinct words share one index; a longer text makes a slice alone.
+INDEXED_BYTES = 8 << 20
 
-# Words a Python worker remembers; then it starts afresh.
-REMEMBERED_WORDS = 120_000
+# A rank at fewer positions is merged one position at a time, which is faster there.
+FEW_POSITIONS = 24
 
 
 def newer_letters() -> str:
@@ -88,6 +88,14 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
+class _Numbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class BytePairVocabulary:
     """Merges by rank, the bytes of each id, and the added tokens of a vocabulary file."""
 
@@ -109,17 +117,23 @@ class BytePairVocabulary:
         self.byte_ids = [ids[letters[b]] for b in range(256)]
         self.wide = max(self.pieces) + 3  # pairs are numbers: left * wide + right
         self.rules: list[tuple[int, int, int]] = []
-        self.ranks: dict[int, int] = {}
         made: dict[int, int] = {}
+        keys = []
         for rank, (left, right) in enumerate(model["merges"]):
             pair = ids[left], ids[right]
             if max(made.get(pair[0], -1), made.get(pair[1], -1)) >= rank:
                 raise ValueError("a merge uses a token that only a later rank makes")
             merged = ids[left + right]
-            made.setdefault(merged, rank)
-            self.ranks[pair[0] * self.wide + pair[1]] = rank
+            if merged in made:
+                raise ValueError("two merges make one token")
+            made[merged] = rank
+            keys.append(pair[0] * self.wide + pair[1])
             self.rules.append((*pair, merged))
-        self.known: dict[str, list[int]] = {}
+        self.rank_of = {key: rank for rank, key in enumerate(keys)}
+        keyed = np.array(keys, np.int64)
+        self.key_ranks = np.argsort(keyed).astype(np.int32)
+        self.keys = keyed[self.key_ranks]
+        self.byte_tokens = np.array(self.byte_ids, np.int32)
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
         for content, i in self.added.items():
             self.pieces[i] = content.encode()
@@ -154,79 +168,147 @@ class BytePairVocabulary:
             at = hit.end()
         return found + word.findall(text[at:])
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word, by one pair occurrence index over all of them."""
-        lookup = self.byte_ids
-        token: list[int] = []
-        bounds = [0]
-        for word in words:
-            added = self.added.get(word)
-            token.extend([lookup[b] for b in word.encode()] if added is None else [added])
-            token.append(-1)  # nothing merges over the end of a word
-            bounds.append(len(token))
-        size = len(token)
-        token.append(-1)  # also what stands before the first position
-        after = list(range(1, size + 2))
-        before = list(range(-1, size))
-        rank_of, wide = self.ranks.get, self.wide
-        places: list[list[int] | None] = [None] * len(self.rules)
-        for i, pair in enumerate([a * wide + b for a, b in zip(token, token[1:])]):
-            rank = rank_of(pair)
-            if rank is not None:
-                if places[rank] is None:
-                    places[rank] = [i]
+    def _ranked(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pair keys have a rule, and its rank."""
+        spot = np.searchsorted(self.keys, keys)
+        spot[spot == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[spot] == keys)
+        return hit, self.key_ranks[spot[hit]]
+
+    def _laid_out(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Byte tokens of all words, a -1 before, between and after them, and each word's first position."""
+        raw = "\0".join(["", *words, ""]).encode()
+        data = np.frombuffer(raw, np.uint8)
+        token = self.byte_tokens[data]
+        if any("\0" in word for word in words):  # then blanks are no sure sign of a word's end
+            sizes = np.fromiter((len(word.encode()) for word in words), np.int64, len(words))
+            ends = np.concatenate([[0], np.cumsum(sizes + 1)])
+        else:
+            ends = np.flatnonzero(data == 0)
+        token[ends] = -1
+        return token, ends[:-1] + 1
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and where each word begins and the last one ends."""
+        token, first = self._laid_out(words)
+        wide = self.wide
+        after = np.arange(1, len(token) + 1, dtype=np.int32)
+        before = np.arange(-1, len(token) - 1, dtype=np.int32)
+        after[-1], before[0] = len(token) - 1, 0
+        # The same memory, whose single items Python reaches faster.
+        tokens, afters, befores = memoryview(token), memoryview(after), memoryview(before)
+        rank_of, rules = self.rank_of.get, self.rules
+        places: dict[int, list] = {}
+        active: list[int] = []
+
+        def note(spots: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            spots, ranks = spots[order], ranks[order]
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for a, b in zip(cuts, cuts[1:]):
+                rank = int(ranks[a])
+                held = places.get(rank)
+                if held is None:
+                    places[rank] = [spots[a:b]]
+                    heapq.heappush(active, rank)
                 else:
-                    places[rank].append(i)
-        active = [rank for rank, found in enumerate(places) if found]
+                    held.append(spots[a:b])
+
+        def note_one(spot: int, rank: int) -> None:
+            held = places.get(rank)
+            if held is None:
+                places[rank] = [spot]
+                heapq.heappush(active, rank)
+            else:
+                held.append(spot)
+
+        spots, ranks = self._ranked(token[:-1].astype(np.int64) * wide + token[1:])
+        if len(spots):
+            note(spots.astype(np.int32), ranks)
+        del spots, ranks
         while active:
             rank = heapq.heappop(active)
-            left, right, merged = self.rules[rank]
-            found, places[rank] = places[rank], None
-            if len(found) > 1:
-                found.sort()
-            for i in found:
-                j = after[i]
-                if token[i] != left or token[j] != right:
-                    continue  # the pair has gone from this position since it was noted
-                k, h = after[j], before[i]
-                token[i], token[j] = merged, -2
-                after[i] = k
-                before[k] = i
-                fresh = rank_of(token[h] * wide + merged)
-                if fresh is not None:
-                    if places[fresh] is None:
-                        places[fresh] = [h]
-                        heapq.heappush(active, fresh)
-                    else:
-                        places[fresh].append(h)
-                fresh = rank_of(merged * wide + token[k])
-                if fresh is not None:
-                    if places[fresh] is None:
-                        places[fresh] = [i]
-                        heapq.heappush(active, fresh)
+            left, right, merged = rules[rank]
+            held = places.pop(rank)
+            if len(held) < FEW_POSITIONS:
+                some = []
+                for one in held:
+                    if isinstance(one, int):
+                        some.append(one)
+                    elif len(one) < FEW_POSITIONS:
+                        some.extend(one.tolist())
                     else:
-                        places[fresh].append(i)
-        return [[t for t in token[a : b - 1] if t >= 0] for a, b in zip(bounds, bounds[1:])]
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text.  Words are remembered between calls, up to a bound."""
-        cut = [self.words(text) if text else [] for text in texts]
-        wanted = set(chain.from_iterable(cut))
-        fresh = list(wanted.difference(self.known))
-        if len(self.known) + len(fresh) > REMEMBERED_WORDS:
-            self.known.clear()
-            fresh = list(wanted)
-        for at in range(0, len(fresh), INDEXED_WORDS):
-            some = fresh[at : at + INDEXED_WORDS]
-            self.known.update(zip(some, self.encode_words(some), strict=True))
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
+                        some = None
+                        break
+                if some is not None and len(some) < FEW_POSITIONS:
+                    some.sort()
+                    for i in some:
+                        j = afters[i]
+                        if tokens[i] != left or tokens[j] != right:
+                            continue  # the pair has gone from this position since it was noted
+                        k, h = afters[j], befores[i]
+                        tokens[i], tokens[j] = merged, -2
+                        afters[i], befores[k] = k, i
+                        fresh = rank_of(tokens[h] * wide + merged)
+                        if fresh is not None:
+                            note_one(h, fresh)
+                        fresh = rank_of(merged * wide + tokens[k])
+                        if fresh is not None:
+                            note_one(i, fresh)
+                    continue
+            spots = np.concatenate([np.atleast_1d(np.asarray(one, np.int32)) for one in held])
+            spots.sort()
+            spots = spots[np.concatenate([[True], spots[1:] != spots[:-1]])]
+            nexts = after[spots]
+            live = (token[spots] == left) & (token[nexts] == right)
+            spots, nexts = spots[live], nexts[live]
+            if left == right and len(spots) > 1:
+                # In a run of overlapping pairs every second one is merged, from the left.
+                opens = np.concatenate([[True], spots[1:] != nexts[:-1]])
+                number = np.arange(len(spots))
+                keep = (number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 0
+                spots, nexts = spots[keep], nexts[keep]
+            if not len(spots):
+                continue
+            beyond = after[nexts]
+            token[spots], token[nexts] = merged, -2
+            after[spots], before[beyond] = beyond, spots
+            round_about = np.concatenate([before[spots], spots])
+            hit, ranks = self._ranked(token[round_about].astype(np.int64) * wide + token[after[round_about]])
+            if len(hit):
+                note(round_about[hit], ranks)
+        for content, i in self.added.items():  # added tokens are words that are one token, whatever the merges
+            if content in words:
+                at = first[words.index(content)]
+                token[at : at + len(content.encode())] = -2
+                token[at] = i
+        held = token >= 0
+        reach = np.concatenate([[0], np.cumsum(held)])
+        return token[held], np.append(reach[first], reach[-1])
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text begins and the last one ends."""
+        numbers = _Numbers()
+        cut = []
+        for text in texts:
+            words = self.words(text) if text else []
+            cut.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+        ids, bounds = self.encode_words(list(numbers))
+        del numbers
+        word = np.concatenate([np.zeros(0, np.int32), *cut])
+        sizes = np.diff(bounds)[word]
+        reach = np.concatenate([[0], np.cumsum(sizes)])
+        first = np.concatenate([[0], np.cumsum([len(one) for one in cut], dtype=np.int64)])
+        spots = np.repeat(bounds[word] - reach[:-1], sizes)
+        spots += np.arange(len(spots))
+        return ids[spots], reach[first]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; bytes that are no UTF-8 become replacement characters."""
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _vocabulary(source: tuple[str, str]) -> BytePairVocabulary:
     return BytePairVocabulary(*source)
 
@@ -249,15 +331,12 @@ def bpe_encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _vocabulary(vocabulary.value)
-        for batch in slices(batches, column):
-            encoded = tool.encode(batch.column(column).to_pylist())
-            offsets = [0]
-            for one in encoded:
-                offsets.append(offsets[-1] + len(one))
-            values = pa.array(list(chain.from_iterable(encoded)), pa.int32())
-            made = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)]
+        for batch in slices(batches, column, INDEXED_BYTES):
+            flat, bounds = tool.encode(batch.column(column).to_pylist())
+            made = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))]
             if decoded is not None:
-                made.append(pa.array(map(tool.decode, encoded), pa.string()))
+                texts = (tool.decode(flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:]))
+                made.append(pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
     names = [ids] if decoded is None else [ids, decoded]
