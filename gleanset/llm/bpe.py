@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanset.llm.tables import widened
+from gleanset.llm.tables import releasing, widened
 from gleanset.llm.words import slices
 
 # Fixed value: how byte-level vocabularies of this family cut texts into words.
@@ -342,7 +342,7 @@ def bpe_encode(
     names = [ids] if decoded is None else [ids, decoded]
     frame = frame.drop(*names)
     kinds = f"{ids} array<int>" if decoded is None else f"{ids} array<int>, {decoded} string"
-    return frame.mapInArrow(run, widened(frame, kinds))
+    return frame.mapInArrow(releasing(run), widened(frame, kinds))
 
 
 def bpe_decode(vocabulary: Broadcast, ids: Column) -> Column:

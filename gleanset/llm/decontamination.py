@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanset.llm.tables import small_enough, stored
+from gleanset.llm.tables import releasing, small_enough, stored
 from gleanset.llm.words import PUNCTUATION_BYTES, ngram_hashes, slices, split_words, text_bytes
 
 SEED_WORDS = 3
@@ -144,7 +144,7 @@ def _scores(texts: DataFrame, key: str, text: str, item_key: str, block: tuple,
             )
 
     return texts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        run, f"{key} bigint, {item_key} bigint, score double"
+        releasing(run), f"{key} bigint, {item_key} bigint, score double"
     )
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanset.llm.tables import widened
+from gleanset.llm.tables import releasing, widened
 from gleanset.llm.words import mix, slices
 
 UNDETERMINED = "und"
@@ -112,7 +112,7 @@ def train(
             )
 
         summed = (
-            drawn.mapInArrow(count, "which int, bucket int, n bigint")
+            drawn.mapInArrow(releasing(count), "which int, bucket int, n bigint")
             .groupBy("which", "bucket").agg(F.sum("n").alias("n"))
         )
         table = summed.toPandas()  # languages times buckets rows at most
@@ -163,4 +163,4 @@ def identify(
                 [*batch.schema.names, language, score],
             )
 
-    return frame.mapInArrow(run, widened(frame, f"{language} string, {score} double"))
+    return frame.mapInArrow(releasing(run), widened(frame, f"{language} string, {score} double"))

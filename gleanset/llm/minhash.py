@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanset.llm.components import components
-from gleanset.llm.tables import small_enough, stored
+from gleanset.llm.tables import releasing, small_enough, stored
 from gleanset.llm.words import Words, batch_words, mix, range_hashes, slices
 from gleanset.plans.durable import durable
 
@@ -117,7 +117,7 @@ def _signatures(texts: DataFrame, size: int) -> DataFrame:
                 ["key", "n", "h1", "h2", "bands"],
             )
 
-    return texts.mapInArrow(run, "key bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return texts.mapInArrow(releasing(run), "key bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -129,7 +129,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays([*_digests(values, offsets), made], ["n", "h1", "h2", "shingles"])
 
-    return texts.mapInArrow(run, "n bigint, h1 bigint, h2 bigint, shingles array<bigint>")
+    return texts.mapInArrow(releasing(run), "n bigint, h1 bigint, h2 bigint, shingles array<bigint>")
 
 
 def _classes(usable: DataFrame) -> DataFrame:

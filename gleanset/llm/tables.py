@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +42,30 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _give_back() -> None:
+    """Let the system have the memory that Arrow and the C library hold in reserve."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The task function ``run``, whose worker gives memory back when its last batch is out.
+
+    Workers serve one task after another, of other stages too, beside an executor's own memory.
+    """
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
 def widened(frame: DataFrame, columns: str) -> T.StructType:
     """The frame's schema with the columns of a DDL string at its end."""
     return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(columns).fields])
