@@ -48,7 +48,7 @@ LATIN_PATTERN = (
 )
 
 # Bytes of text in a slice, whose distinct words share one index; a longer text makes a slice alone.
-INDEXED_BYTES = 8 << 20
+INDEXED_BYTES = 2 << 20
 
 # A rank at fewer positions is merged one position at a time, which is faster there.
 FEW_POSITIONS = 24
