@@ -140,6 +140,21 @@ def _without(rows: DataFrame, taken: DataFrame, key: str, hot: DataFrame | None)
     return in_hot.unionByName(in_cold)
 
 
+def known_keys(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """The keys of ``stored`` that some of the rows have, kept: ``(id_key, text_key)``, one of them null.
+
+    All that a later check of the same rows against the same store needs to know of it.
+    """
+    pairs = rows.select(id_key().alias("id_key"), text_key().alias("text_key"))
+    ids, texts = _stored_near(stored, pairs, pairs.count())
+    ids = ids.join(pairs.select("id_key").distinct(), "id_key", "left_semi")
+    texts = texts.join(pairs.select("text_key").distinct(), "text_key", "left_semi")
+    none = F.lit(None).cast("string")
+    return durable(
+        ids.select("id_key", none.alias("text_key")).unionByName(texts.select(none.alias("id_key"), "text_key"))
+    )
+
+
 def _stored_near(stored: DataFrame, rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """Stored ids and body digests that can matter to these rows.
 

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanset import vocabulary as V
 from gleanset.operators.cleaning import clean_posts
-from gleanset.operators.dedup import ordered_dedup
+from gleanset.operators.dedup import known_keys, ordered_dedup
 from gleanset.operators.reports import provenance, run_result
 from gleanset.operators.search import check_search, global_search
 from gleanset.operators.sets import SOURCE_ORDER, check_stream, source_order, stream_union
 from gleanset.plans.durable import durable
-from gleanset.sinks.stored import verified_append
+from gleanset.sinks.stored import current_version, verified_append
 from gleanset.sources.curated import multi_scan
 from gleanset.sources.stored import backend_choice, snapshot_keys, snapshot_read
 
@@ -101,12 +101,17 @@ def run_batch(
 ) -> RunOutcome:
     """Run once against a store; repeating it with the same ``run`` changes nothing more.
 
+    Where another writer publishes meanwhile, the candidates are de-duplicated again with
+    the keys that it has added; the store itself is not read again.
+
     Every stream is computed once and kept in reliable storage, since the
     counters, the de-duplication and the provenance all read it.
     """
     check_stream(stream)
     backend = backend_choice(backend)
-    stored = snapshot_read(spark, store, backend, except_run=run)
+    base = current_version(spark, store)
+    at = base.number if base.number >= 0 else None
+    stored = snapshot_read(spark, store, backend, except_run=run, version=at)
     curated, searched = collect_streams(posts, settings, now, stream)
     curated = None if curated is None else durable(curated)
     searched = None if searched is None else durable(searched)
@@ -120,8 +125,10 @@ def run_batch(
         }
         return RunOutcome(empty, run_result(stages, False), False)
 
-    known = snapshot_keys(spark, store, backend, except_run=run)
-    fresh = durable(new_rows(stream_union(curated, searched), known))
+    candidates = stream_union(curated, searched)
+    cleaned = clean_posts(candidates, *SOURCE_ORDER)
+    known = known_keys(cleaned, snapshot_keys(spark, store, backend, except_run=run, version=at))
+    fresh = durable(ordered_dedup(cleaned, known, SOURCE_ORDER))
     stages = {
         "existing_rows": stored,
         "curated_posts": curated,
@@ -134,7 +141,15 @@ def run_batch(
         held = curated if curated is not None else searched.limit(0)
         tagged = source_order(provenance(fresh, held, nothing)).drop(*SOURCE_ORDER)
         return RunOutcome(kept, run_result(stages, False), False, tagged)
-    uploaded = verified_append(kept, store, run, backend) > 0
+
+    def renew(added: DataFrame) -> DataFrame:
+        nonlocal known
+        known = known.unionByName(known_keys(cleaned, added))
+        stages["unique_posts"] = durable(ordered_dedup(cleaned, known, SOURCE_ORDER))
+        return stages["unique_posts"].drop(*SOURCE_ORDER)
+
+    uploaded = verified_append(kept, store, run, backend, since=base, renew=renew) > 0
+    kept = stages["unique_posts"].drop(*SOURCE_ORDER)
     return RunOutcome(kept, run_result(stages, uploaded), uploaded)
 
 

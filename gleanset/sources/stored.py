@@ -1,7 +1,9 @@
 """Reading the stored dataset: CSV files, grid pages, and run-partitioned stores.
 
-A store is a folder with one sub-folder per append, ``run=<id>``.  Appending
-never touches another run's files, and repeating a run replaces its own.
+A store is a folder with one sub-folder per append, ``run=<id>``, and a list of
+versions (see ``sinks.versions``).  Readers take the files that a version names, the
+newest unless told otherwise; what no version names is not there.  A folder without any
+version, as another tool may leave it, is read whole.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanset.operators.dedup import id_key, stored_keys
+from gleanset.sinks.versions import RunFiles, full_paths, read_version
+from gleanset.sources.csv_ranges import csv_records, parsed
 from gleanset.schemas import BODY_KEY, CSV_COLUMNS, GRID_COLUMNS, stored_schema
 
 BACKENDS = ("csv", "sheets")
@@ -72,13 +76,14 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     """A CSV dataset of 13 text columns; missing cells are empty strings.
 
     The header must be exact: one file is checked here, every file when read.
-    Bodies span lines, so one file is one task; the writer bounds file sizes.
+    Bodies span lines; a large file is read by many tasks all the same (see ``csv_ranges``).
     """
-    line = _first_line(spark, path)
-    _check_header(line, CSV_COLUMNS)
-    line_end = "\r\n" if line.endswith("\r") else "\n"
-    reader = spark.read.options(**CSV_OPTIONS).option("lineSep", line_end)
-    return _blank_nulls(reader.schema(stored_schema(CSV_COLUMNS)).csv(path), CSV_COLUMNS)
+    _check_header(_first_line(spark, path), CSV_COLUMNS)
+    return _csv_cells(spark, path)
+
+
+def _csv_cells(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return _blank_nulls(parsed(csv_records(spark, paths), CSV_COLUMNS, CSV_OPTIONS), CSV_COLUMNS)
 
 
 def grid_scan(pages: DataFrame) -> DataFrame:
@@ -99,6 +104,22 @@ def grid_scan(pages: DataFrame) -> DataFrame:
     return body.select(*[F.col("cells")[i].alias(c) for i, c in enumerate(GRID_COLUMNS)])
 
 
+def runs_of(
+    spark: SparkSession,
+    path: str,
+    version: int | None = None,
+    except_run: str | None = None,
+    only_run: str | None = None,
+) -> tuple[RunFiles, ...] | None:
+    """The runs of a version, the newest by default; None for a folder without versions."""
+    found = read_version(spark, path, version)
+    if found is None:
+        return None
+    return tuple(
+        r for r in found.runs if r.run != except_run and (only_run is None or r.run == only_run)
+    )
+
+
 def snapshot_read(
     spark: SparkSession,
     path: str,
@@ -106,22 +127,28 @@ def snapshot_read(
     *,
     except_run: str | None = None,
     only_run: str | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Stored rows of a store, lazily; select few columns and only those are read.
 
     ``except_run`` leaves out one run's own files, so that a repeated run sees
-    what its first try saw; ``only_run`` reads nothing else.
+    what its first try saw; ``only_run`` reads nothing else.  ``version`` reads the
+    store as it was then, whatever has been appended since.
     """
+    backend = backend_choice(backend)
+    runs = runs_of(spark, path, version, except_run, only_run)
+    if runs is not None:
+        return read_runs(spark, path, backend, runs)
     columns = backend_columns(backend)
     schema = stored_schema(columns).add(T.StructField("run", T.StringType()))
-    if backend_choice(backend) == "csv":
-        line = _first_line(spark, f"{path}/run={FIRST_RUN}")
-        _check_header(line, columns)
-        line_end = "\r\n" if line.endswith("\r") else "\n"
-        reader = spark.read.options(**CSV_OPTIONS).option("lineSep", line_end)
-        rows = reader.schema(schema).csv(path)
-    else:
-        rows = spark.read.schema(schema).parquet(path)
+    if backend == "csv":
+        _check_header(_first_line(spark, f"{path}/run={FIRST_RUN}"), columns)
+        # Only to find the folder's runs; their files are read by ranges.
+        named = spark.read.schema("value string, run string").text(path).inputFiles()
+        runs = {f: f.rpartition("/run=")[2].partition("/")[0] for f in named}
+        chosen = [f for f, r in runs.items() if r != except_run and (only_run is None or r == only_run)]
+        return _csv_cells(spark, chosen) if chosen else _no_rows(spark, columns)
+    rows = spark.read.schema(schema).parquet(path)
     if except_run is not None:
         rows = rows.where(F.col("run") != except_run)
     if only_run is not None:
@@ -129,26 +156,54 @@ def snapshot_read(
     return _blank_nulls(rows, columns)
 
 
+def _no_rows(spark: SparkSession, columns: tuple[str, ...]) -> DataFrame:
+    return spark.createDataFrame([], stored_schema(columns))
+
+
+def read_runs(spark: SparkSession, path: str, backend: str, runs: tuple[RunFiles, ...]) -> DataFrame:
+    """The rows of some runs of a store."""
+    columns = backend_columns(backend)
+    files = full_paths(path, [f for r in runs for f in r.files])
+    if not files:
+        return _no_rows(spark, columns)
+    if backend_choice(backend) == "csv":
+        return _csv_cells(spark, files)
+    return _blank_nulls(spark.read.schema(stored_schema(columns)).parquet(*files), columns)
+
+
 def snapshot_keys(
     spark: SparkSession,
     path: str,
     backend: str = "csv",
     *,
     except_run: str | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Ids and body digests of a store, null where blank: all that de-duplication needs.
 
-    Grid stores keep the digest of every body beside it, so bodies are not read.
-    Rows that another tool wrote have no digest; theirs is worked out, and the
+    Grid stores keep the digest of every body beside it, so bodies are not read; CSV
+    stores have a file of keys beside each run, so nothing is parsed.  Rows that
+    another tool wrote have neither; theirs are worked out, and the
     scan for them skips all row groups that have no such row.
     """
-    if backend_choice(backend) == "csv":
+    backend = backend_choice(backend)
+    runs = runs_of(spark, path, version, except_run)
+    if runs is not None:
+        return run_keys(spark, path, backend, runs)
+    if backend == "csv":
         return stored_keys(snapshot_read(spark, path, backend, except_run=except_run))
-    names = ("id", "selftext", BODY_KEY)
-    schema = stored_schema(names).add(T.StructField("run", T.StringType()))
+    schema = stored_schema(_KEY_COLUMNS).add(T.StructField("run", T.StringType()))
     rows = spark.read.schema(schema).parquet(path)
     if except_run is not None:
         rows = rows.where(F.col("run") != except_run)
+    return _grid_keys(rows)
+
+
+_KEY_COLUMNS = ("id", "selftext", BODY_KEY)
+_KEYS = "id_key string, text_key string"
+
+
+def _grid_keys(rows: DataFrame) -> DataFrame:
     digest = F.when(F.col(BODY_KEY) != "", F.col(BODY_KEY))
     keyed = rows.where(F.col(BODY_KEY).isNotNull()).select(
         id_key().alias("id_key"), digest.alias("text_key")
@@ -156,6 +211,19 @@ def snapshot_keys(
     return keyed.unionByName(stored_keys(rows.where(F.col(BODY_KEY).isNull())))
 
 
+def run_keys(spark: SparkSession, path: str, backend: str, runs: tuple[RunFiles, ...]) -> DataFrame:
+    """Ids and body digests of some runs of a store."""
+    if backend_choice(backend) == "sheets":
+        files = full_paths(path, [f for r in runs for f in r.files])
+        if not files:
+            return spark.createDataFrame([], _KEYS)
+        return _grid_keys(spark.read.schema(stored_schema(_KEY_COLUMNS)).parquet(*files))
+    keys = full_paths(path, [f for r in runs for f in r.keys])
+    found = spark.read.schema(_KEYS).parquet(*keys) if keys else spark.createDataFrame([], _KEYS)
+    bare = tuple(r for r in runs if not r.keys)
+    return found.unionByName(stored_keys(read_runs(spark, path, backend, bare))) if bare else found
+
+
 def dataset_stats(rows: DataFrame) -> DataFrame:
     """Rows, columns, and bytes of a file-backed dataset; every file's size counts once.
 
