@@ -159,6 +159,38 @@ def csv_scan(spark, sf):
     return src.csv_scan(spark, f"{path}/run={sink.FIRST_RUN}")
 
 
+@query
+def snapshot_version(spark, sf):
+    """An older version of a store, read after a later append."""
+    path, fresh = _stored_and_new(spark, sf, "sheets")
+    sink.verified_append(fresh, path, "second", "sheets")
+    return src.snapshot_read(spark, path, "sheets", version=0).select("id", "created_iso")
+
+
+@query
+def serial_writes(spark, sf):
+    """Two writers judge the same posts against the same version; the one that comes second adds nothing twice.
+
+    The first takes every other post, so the second still has rows to add.
+    """
+    path = _store(spark, sf, "csv")
+    base = sink.current_version(spark, path)
+    order = ["created_utc", "id"]
+    rows = cleaning.clean_posts(D.posts(spark, sf))
+    known = dedup.known_keys(rows, src.snapshot_keys(spark, path))
+    fresh = durable(dedup.ordered_dedup(rows, known, order))
+    first = fresh.where(F.xxhash64("id") % 2 == 0)
+    sink.verified_append(first, path, "first", since=base)
+
+    def renew(added: DataFrame) -> DataFrame:
+        return durable(dedup.ordered_dedup(rows, known.unionByName(added), order))
+
+    sink.verified_append(fresh, path, "second", since=base, renew=renew)
+    return src.snapshot_read(spark, path).groupBy("id", "created_iso", "subreddit").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+
+
 @query
 def grid_scan(spark, sf):
     """Pages as a grid service returns them: a header row, blank tails left out."""
@@ -474,7 +506,9 @@ def cooccurrence(spark, sf):
 
 @query
 def dataset_stats(spark, sf):
-    return src.dataset_stats(D.table(spark, sf, "documents")).select("n_rows", "n_columns")
+    return src.dataset_stats(D.table(spark, sf, "documents")).select(
+        "n_rows", "n_columns", (F.col("n_bytes") > F.col("n_rows")).alias("has_bytes")
+    )
 
 
 @query
@@ -736,10 +770,11 @@ def post_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def incremental_append(spark, sf):
-    path = _store(spark, sf, "sheets")
+    path, now = _store(spark, sf, "sheets"), D.clock(spark, sf)
     for _ in range(2):  # The second pass reads everything again and adds nothing.
         stream = S.incremental_append(
-            post_stream(spark, sf), path, scratch_path(spark, "progress"), backend="sheets"
+            post_stream(spark, sf), path, scratch_path(spark, "progress"), backend="sheets",
+            settings=settings(), now=now,
         )
         stream.awaitTermination()
     return src.snapshot_read(spark, path, "sheets").select("id", "created_iso", "subreddit")

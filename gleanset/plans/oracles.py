@@ -408,7 +408,7 @@ def all_oracles() -> dict[str, str]:
             "AS posts FROM (VALUES ('both', true, true), ('only_a', true, false), "
             "('only_b', false, true), ('neither', false, false)) AS c(cell, a, b)",
         ),
-        "dataset_stats": "SELECT count(*) AS n_rows, 5::INTEGER AS n_columns FROM documents",
+        "dataset_stats": "SELECT count(*) AS n_rows, 5::INTEGER AS n_columns, true AS has_bytes FROM documents",
         "store_audit": with_posts(
             CLEAN,
             KEPT_POSTS,
@@ -514,9 +514,19 @@ def all_oracles() -> dict[str, str]:
         "name_in": "SELECT event_id, event_type AS name FROM events",
         "incremental_append": with_posts(
             CLEAN,
-            KEPT_POSTS,
+            KEPT_STREAMS,
             "SELECT id, created_iso, subreddit FROM stored UNION ALL "
-            "SELECT id, created_iso, subreddit FROM fresh",
+            "SELECT c.id, c.created_iso, c.subreddit FROM kept JOIN numbered USING (ord) "
+            "JOIN clean c ON c.id = post_id",
+        ),
+        "serial_writes": with_posts(
+            CLEAN,
+            KEPT_POSTS,
+            "SELECT id, created_iso, subreddit, 1::BIGINT AS copies FROM (SELECT id, created_iso, subreddit "
+            "FROM stored UNION ALL SELECT id, created_iso, subreddit FROM fresh)",
+        ),
+        "snapshot_version": with_posts(
+            CLEAN, KEPT_POSTS, "SELECT id, created_iso FROM stored"
         ),
         "sliding_runs": with_posts(runs(GLOBAL_SCHEDULE), RUN_REPORT),
         "sliding_runs_curated": with_posts(runs(CURATED_SCHEDULE), RUN_REPORT),

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleanset.operators.cleaning import clean_posts
-from gleanset.operators.dedup import ordered_dedup
+from gleanset.operators.dedup import known_keys, ordered_dedup
+from gleanset.operators.sets import check_stream
 from gleanset.plans.durable import durable
-from gleanset.sinks.stored import verified_append
+from gleanset.plans.run import RunSettings, run_batch
+from gleanset.sinks.stored import current_version, verified_append
+from gleanset.sinks.versions import discard
+from gleanset.sources.curated import lookback_filter
 from gleanset.sources.stored import snapshot_keys
 
 # Cadence, lookback, and offset from midnight of both schedules, in seconds.
@@ -25,6 +31,23 @@ def writer_name(store: str) -> str:
     return "append-" + hashlib.sha256(store.encode()).hexdigest()[:16]
 
 
+def lookback_window(batch: DataFrame, state: str, number: int, now: datetime, hours: float) -> DataFrame:
+    """Posts of the micro-batch and of earlier ones that are not older than the lookback.
+
+    They are kept as one folder per micro-batch, made of the folder before it, so the state is
+    bounded by the posts of one lookback and a replayed micro-batch makes the same folder again.
+    """
+    spark = batch.sparkSession
+    recent = lookback_filter(batch, now, hours)
+    if number:
+        earlier = spark.read.schema(batch.schema).parquet(f"{state}/batch={number - 1}")
+        recent = lookback_filter(earlier, now, hours).unionByName(recent)
+    recent.write.mode("overwrite").parquet(f"{state}/batch={number}")
+    if number > 1:
+        discard(spark, state, f"batch={number - 2}")
+    return spark.read.schema(batch.schema).parquet(f"{state}/batch={number}")
+
+
 def incremental_append(
     posts: DataFrame,
     store: str,
@@ -32,27 +55,63 @@ def incremental_append(
     *,
     backend: str = "csv",
     order: tuple[str, ...] = ("created_utc", "post_id"),
+    settings: RunSettings | None = None,
+    now: datetime | Callable[[int], datetime] | None = None,
+    stream: str = "both",
+    state: str | None = None,
 ) -> StreamingQuery:
     """Append the new rows of a stream of posts to a store, then stop when it is drained.
 
+    With ``settings`` every micro-batch is a whole run: both streams are collected over the
+    posts of the last lookback, whichever micro-batch brought them, so a post competes for the places of a
+    search until it is too old.  ``now`` is the time of the run, or tells it for a micro-batch's
+    number.  Without ``settings`` every post of the stream is a candidate, in the given order.
+
     A micro-batch replayed after a failure is judged against the store without
     its own files and replaces them, so it is appended exactly once.  Runs carry
     the query's id, which lives as long as its checkpoint: a query started
     afresh never touches the runs of an earlier one.
     """
+    if settings is not None and now is None:
+        raise ValueError("a run needs its time: pass now")
+    check_stream(stream)
     started = threading.Event()
     query_id: list[str] = []
-
-    def append(batch: DataFrame, number: int) -> None:
-        started.wait()
-        run = f"{query_id[0]}-{number}"
-        stored = snapshot_keys(batch.sparkSession, store, backend, except_run=run)
+    folder = state or f"{checkpoint.rstrip('/')}-lookback"
+
+    def collect(batch: DataFrame, number: int, run: str) -> None:
+        at = now(number) if callable(now) else now
+        hours = max(settings.curated_hours, settings.global_hours)
+        window = lookback_window(batch, folder, number, at, hours)
+        run_batch(batch.sparkSession, window, store, run, settings, at, stream=stream, backend=backend)
+
+    def take_all(batch: DataFrame, run: str) -> None:
+        spark = batch.sparkSession
+        base = current_version(spark, store)
+        at = base.number if base.number >= 0 else None
         carried = [f"_{i}" for i in range(len(order))]
         ordered = batch.withColumns({c: F.col(o) for c, o in zip(carried, order, strict=True)})
         # Read once: a second read of a micro-batch would run its source and state again.
         cleaned = durable(clean_posts(ordered, *carried))
-        fresh = ordered_dedup(cleaned, stored, carried)
-        verified_append(fresh.drop(*carried), store, run, backend)
+        known = known_keys(cleaned, snapshot_keys(spark, store, backend, except_run=run, version=at))
+
+        def fresh(keys: DataFrame) -> DataFrame:
+            return durable(ordered_dedup(cleaned, keys, carried).drop(*carried))
+
+        def renew(added: DataFrame) -> DataFrame:
+            nonlocal known
+            known = known.unionByName(known_keys(cleaned, added))
+            return fresh(known)
+
+        verified_append(fresh(known), store, run, backend, since=base, renew=renew)
+
+    def append(batch: DataFrame, number: int) -> None:
+        started.wait()
+        run = f"{query_id[0]}-{number}"
+        if settings is None:
+            take_all(batch, run)
+        else:
+            collect(batch, number, run)
 
     query = (
         posts.writeStream.queryName(writer_name(store))
