@@ -79,7 +79,7 @@ def epoch_to_iso(seconds: Column) -> Column:
 
 
 def epoch_text(seconds: Column) -> Column:
-    """A double in plain notation with the fewest digits that give it back: ``1788436800.0``."""
+    """A double in plain notation with the fewest digits that give it back: ``1972857600.0``."""
     digits = seconds.cast("double").cast("string").cast("decimal(38,12)").cast("string")
     trimmed = F.regexp_replace(digits, "0+$", "")
     return F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)

@@ -19,8 +19,8 @@ HOSTILE = [
 
 def clean_rows(spark, bodies=HOSTILE, prefix="p"):
     rows = [
-        ("s", f"{prefix}{k}", f" title {k} ", None if k % 2 else "a", 1788436800.0 + k / 4,
-         "2026-09-03T12:00:00+00:00", "u", body)
+        ("s", f"{prefix}{k}", f" title {k} ", None if k % 2 else "a", 1972857600.0 + k / 4,
+         "2032-07-08T00:00:00+00:00", "u", body)
         for k, body in enumerate(bodies)
     ]
     return spark.createDataFrame(rows, CLEAN)
@@ -42,7 +42,7 @@ def test_csv_round_trip_here_and_with_pythons_reader(spark, tmp_path, line_end):
     back = src.snapshot_read(spark, str(store))
     assert back.columns == list(CSV_COLUMNS)
     assert bodies_of(back) == wanted
-    assert {r.created_utc for r in back.collect()} >= {"1788436800.0", "1788436800.25"}
+    assert {r.created_utc for r in back.collect()} >= {"1972857600.0", "1972857600.25"}
     by_python = {}
     for raw in part_bytes(store):
         reader = csv.DictReader(io.StringIO(raw.decode(), newline=""))

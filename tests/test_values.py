@@ -16,7 +16,7 @@ RAW = (
 
 def seconds():
     rng = random.Random(7)
-    fixed = [0.0, -1.5, 0.5, 1787681430.0, 1788436800.0, 1788436800.123456, 1.0000005, 2.5e-6]
+    fixed = [0.0, -1.5, 0.5, 1930367167.0, 1972857600.0, 1972857600.123456, 1.0000005, 2.5e-6]
     fixed += [-0.25, 253402300799.0, -62135596800.0, 1e9 + 1e-7]
     return fixed + [rng.uniform(0, 4e9) for _ in range(3000)] + [
         rng.randrange(0, 4 * 10**15) / 1e6 for _ in range(3000)
@@ -63,15 +63,15 @@ def test_numeric_cast_equals_python(spark, text):
 
 def test_cleaning_keeps_the_body_and_orders_columns(spark):
     body = '  "quoted"\r\n\ttab \\ back\n\n end '
-    row = ("p", "s", None, body, None, 1787681430.0, None)
+    row = ("p", "s", None, body, None, 1930367167.0, None)
     got = cleaning.clean_posts(spark.createDataFrame([row], RAW)).collect()
     assert got[0].asDict() == {
         "subreddit": "s",
         "id": "p",
         "title": "",
         "author": "",
-        "created_utc": 1787681430.0,
-        "created_iso": "2026-08-25T18:10:30+00:00",
+        "created_utc": 1930367167.0,
+        "created_iso": "2031-03-04T05:06:07+00:00",
         "url": "",
         "selftext": body,
     }
