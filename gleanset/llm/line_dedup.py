@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanset.llm.tables import small_enough
+from gleanset.operators.dedup import free_names
 from gleanset.plans.durable import durable
 
 MAX_RATIO = Fraction(1, 10)
@@ -81,21 +82,22 @@ def drop_boilerplate(
     Columns of these two names are replaced.
     """
     found = durable(boilerplate_lines(pages, host, text, max_ratio=max_ratio, min_pages=min_pages))
-    lists = found.groupBy("_host").agg(
-        F.collect_list("_line").alias("_bad"),
-        F.collect_list(F.xxhash64("_line")).alias("_bad_hashes"),
+    own_host, bad, hashes, left = free_names(pages.columns, "_host", "_bad", "_bad_hashes", "_kept")
+    lists = found.groupBy(F.col("_host").alias(own_host)).agg(
+        F.collect_list("_line").alias(bad),
+        F.collect_list(F.xxhash64("_line")).alias(hashes),
     )
     lists = F.broadcast(lists) if found.count() <= BROADCAST_LINES else durable(lists)
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    joined = pages.select(*columns).join(lists, F.col(host).eqNullSafe(F.col("_host")), "left")
+    joined = pages.select(*columns).join(lists, F.col(host).eqNullSafe(F.col(own_host)), "left")
     lines = _lines(F.col(text))
     kept = F.filter(
         lines,
-        lambda x: ~(F.array_contains("_bad_hashes", F.xxhash64(x)) & F.array_contains("_bad", x)),
+        lambda x: ~(F.array_contains(hashes, F.xxhash64(x)) & F.array_contains(bad, x)),
     )
-    kept = F.when(F.col("_bad").isNull(), lines).otherwise(kept)
-    return joined.withColumn("_kept", kept).select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text else F.col(c) for c in columns],
+    kept = F.when(F.col(bad).isNull(), lines).otherwise(kept)
+    return joined.withColumn(left, kept).select(
+        *[F.array_join(left, "\n").alias(c) if c == text else F.col(c) for c in columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce(F.size(lines) - F.size(left), F.lit(0)).cast("bigint").alias("n_dropped"),
     )

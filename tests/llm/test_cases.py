@@ -66,6 +66,10 @@ def test_line_cases(spark):
     got = {(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(frame).collect()}
     assert got == {(i, f"own {i}\n", 4, 2) for i in range(5)} | {(9, None, 0, 0), (9, "", 1, 0)}
     assert line_dedup.drop_boilerplate(frame.limit(0)).count() == 0
+    names = ("_host", "_bad", "_bad_hashes", "_kept", "_line")
+    clash = line_dedup.drop_boilerplate(frame.withColumns({n: F.lit(n) for n in names})).collect()
+    assert {(r.doc_id, r.text) for r in clash} == {(k, t) for k, t, _, _ in got}
+    assert all(r[n] == n for r in clash for n in names)
 
 
 def test_chat_cases(spark):
