@@ -823,3 +823,36 @@ def stream_first_seen(spark, sf):
         F.concat(F.lit("u"), "user_id").alias("post_id"),
     )
     return _drain(spark, S.stream_first_seen(events, "1000 days")).select("post_id")
+
+
+def _closed(stream: DataFrame, last: DataFrame) -> DataFrame:
+    """The stream and one row more, so late that everything before it is told."""
+    path = scratch_path(stream.sparkSession, "closing")
+    last.write.parquet(path)
+    closing = stream.sparkSession.readStream.schema(last.schema).parquet(path)
+    return stream.unionByName(closing, allowMissingColumns=True)
+
+
+@query
+def stream_first_copy(spark, sf):
+    def seen(events):
+        return events.select(
+            F.timestamp_micros(D.micros(F.col("ts"))).alias("ts"),
+            F.concat(F.lit("u"), "user_id").alias("post_id"),
+            F.col("event_type").alias("batch"),
+            F.col("event_id").alias("rank"),
+        )
+
+    last = seen(D.table(spark, sf, "events")).agg((F.max("ts") + F.expr("INTERVAL 3000 DAYS")).alias("ts"))
+    stream = _closed(seen(event_stream(spark, sf)), last)
+    return _drain(spark, S.stream_first_copy(stream, "1000 days", "1000 days")).drop("ts")
+
+
+@query
+def late_data_stream(spark, sf):
+    columns = ["created_utc", "visible_at"]
+    last = D.posts(spark, sf).agg(
+        *[(F.max("visible_at") + F.lit(10.0 * S.GLOBAL_SCHEDULE[1])).alias(c) for c in columns]
+    )
+    stream = _closed(post_stream(spark, sf).select(*columns), last)
+    return _drain(spark, S.late_data_stream(stream, *S.GLOBAL_SCHEDULE))

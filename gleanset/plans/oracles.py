@@ -548,4 +548,16 @@ SELECT run_at, count(*) AS seen FROM ends JOIN times
   ON s >= run_at - {CUR_LOOKBACK} AND s < run_at
 WHERE run_at <= (SELECT max(s) - {CUR_LOOKBACK} FROM times) GROUP BY run_at""",
         "stream_first_seen": "SELECT DISTINCT 'u' || user_id AS post_id FROM events",
+        "stream_first_copy": (
+            "SELECT 'u' || user_id AS post_id, event_type AS batch, event_id AS rank FROM events "
+            "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id) = 1"
+        ),
+        "late_data_stream": with_posts(
+            f"""marks AS (
+  SELECT created_utc, visible_at, floor((visible_at - created_utc) / 3600.0)::BIGINT AS delay_hours,
+    ceil((visible_at - {GLO_OFFSET}) / {GLO_CADENCE})::BIGINT * {GLO_CADENCE} + {GLO_OFFSET} AS run_at FROM posts)""",
+            "SELECT run_at, delay_hours, count(*) AS posts, count(*) FILTER (created_utc >= run_at - "
+            f"{GLO_LOOKBACK}) AS caught, count(*) FILTER (created_utc < run_at - {GLO_LOOKBACK}) AS missed "
+            "FROM marks GROUP BY run_at, delay_hours",
+        ),
     }

@@ -1,10 +1,10 @@
-"""Continuous collection: exactly-once appends, scheduled windows, late rows, first seen."""
+"""Continuous collection: exactly-once appends, scheduled windows, late rows, first seen and first copies."""
 
 from __future__ import annotations
 
 import hashlib
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -205,9 +205,56 @@ def run_windows(posts: DataFrame, cadence: int, lookback: int, offset: int) -> D
 
 
 def stream_first_seen(posts: DataFrame, delay: str) -> DataFrame:
-    """One copy of every id within the watermark delay; state stays bounded.
+    """One copy of every id within the watermark delay, told at once; state stays bounded.
 
-    Which copy is kept is open; where the first must win, use the batch form
-    inside ``foreachBatch``.
+    Which copy is kept is open; where the first in order must win, use :func:`stream_first_copy`.
     """
     return posts.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["post_id"])
+
+
+def stream_first_copy(
+    posts: DataFrame, apart: str, delay: str, order: Sequence[str] = ("batch", "rank")
+) -> DataFrame:
+    """The copy of every id that is first in the given order, whatever order the copies come in.
+
+    Copies of an id are a session: each within ``apart`` of the one before, by event time ``ts``.
+    The state holds the least copy of every open session, and a session is told once and let go when
+    the watermark, ``delay`` behind the newest row, has passed its end.  So the state is bounded by
+    the ids of ``apart`` and ``delay`` together.  Rows later than the watermark are dropped, and
+    so are rows without a time; rows without an id count as one id.  Of copies that tie in order any may be kept.
+    """
+    columns = posts.columns
+    least = F.min_by(F.struct(*columns), F.struct(*order))
+    return (
+        posts.withWatermark("ts", delay)
+        .groupBy("post_id", F.session_window("ts", apart).alias("session"))
+        .agg(least.alias("first"))
+        .select(*[F.col("first").getField(c).alias(c) for c in columns])
+    )
+
+
+def late_data_stream(posts: DataFrame, cadence: int, lookback: int, offset: int) -> DataFrame:
+    """:func:`late_data` as a stream: per run that first sees a post, and per hours of delay.
+
+    Rows come as they get visible.  The run's own watermark is its time less the lookback: a row
+    created behind it is missed, and is counted here instead of being dropped.  A run is told once, when
+    a later run's rows have moved the stream's watermark, one cadence behind, past it.
+    """
+    tick = _tick(F.col("visible_at"), cadence, offset, up=True)
+    first_run = run_time(tick, cadence, offset)
+    delay = F.floor((F.col("visible_at") - F.col("created_utc")) / F.lit(3600.0))
+    return (
+        posts.select(
+            F.timestamp_seconds(first_run).alias("run"),
+            delay.cast("bigint").alias("delay_hours"),
+            (F.col("created_utc") >= first_run - F.lit(lookback)).alias("caught"),
+        )
+        .withWatermark("run", f"{cadence} seconds")
+        .groupBy("run", "delay_hours")
+        .agg(
+            F.count(F.lit(1)).alias("posts"),
+            F.count_if("caught").alias("caught"),
+            F.count_if(~F.col("caught")).alias("missed"),
+        )
+        .select(F.unix_seconds("run").alias("run_at"), "delay_hours", "posts", "caught", "missed")
+    )

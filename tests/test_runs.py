@@ -1,10 +1,12 @@
 import json
+import random
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from gleanset.operators import sets
+from gleanset.operators.search import first_seen
 from gleanset.plans import run as R
 from gleanset.sinks.stored import create_store
 from gleanset.sources.raw import raw_flatten, read_submissions
@@ -278,3 +280,64 @@ def test_stream_state_drops_repeats(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r.post_id for r in spark.read.schema(POSTS).parquet(out).collect()) == ["a", "b"]
+
+
+def replayed(spark, tmp_path, parts, make):
+    """What a stream tells of rows that come in the given parts, one micro-batch each."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(source)
+        query = (
+            make(spark.readStream.schema(parts[0].schema).parquet(source))
+            .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "progress"))
+            .trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+    state = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    return spark.read.parquet(out), state
+
+
+def test_streamed_first_copies_equal_the_batch_form_on_a_shuffled_replay(spark, tmp_path):
+    draw = random.Random(3)
+    kind = "post_id string, ts timestamp, batch int, rank int, body string"
+    rows = [
+        (f"p{i}", datetime.fromtimestamp(AT + i * 60, timezone.utc), b, draw.randrange(20), f"{i} {b}")
+        for i in range(300) for b in draw.sample(range(9), draw.randint(1, 4))
+    ]
+    rows.append((None, datetime.fromtimestamp(AT, timezone.utc), 1, 1, "without id"))
+    draw.shuffle(rows)
+    end = [(None, datetime.fromtimestamp(AT + 10**6, timezone.utc), None, None, None)]
+    parts = [rows[:400], rows[400:], end]
+    got, state = replayed(
+        spark, tmp_path, [spark.createDataFrame(p, kind) for p in parts],
+        lambda posts: S.stream_first_copy(posts, "1 hour", "12 hours"),
+    )
+    want = first_seen(spark.createDataFrame(rows, kind))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert state == 1  # of the closing row
+
+
+def test_streamed_copies_that_lie_far_apart_are_told_each(spark, tmp_path):
+    kind = "post_id string, ts timestamp, batch int, rank int"
+    hours = [("a", 0, 2, 0), ("a", 1, 1, 0), ("a", 9, 0, 0), ("b", 3, 0, 0), (None, 99, 0, 0)]
+    rows = [(i, datetime.fromtimestamp(AT + h * HOUR, timezone.utc), b, r) for i, h, b, r in hours]
+    got, _ = replayed(
+        spark, tmp_path, [spark.createDataFrame(rows, kind)],
+        lambda posts: S.stream_first_copy(posts, "2 hours", "1 hour"),
+    )
+    assert sorted((r.post_id, r.batch) for r in got.collect()) == [("a", 0), ("a", 1), ("b", 0)]
+
+
+def test_streamed_late_rows_equal_the_batch_form(spark, tmp_path):
+    rows = posts(spark, [(str(k), "s", k / 7, "", "") for k in range(200)]).select(
+        "created_utc", (F.col("created_utc") + F.lit(HOUR) * (F.hash("post_id") % 9 + 9)).alias("visible_at")
+    )
+    in_order = [r for r in rows.orderBy("visible_at").collect()]
+    end = [(AT + 10**6, AT + 10**6)]
+    parts = [spark.createDataFrame(p, rows.schema) for p in (in_order[:90], in_order[90:], end)]
+    got, _ = replayed(spark, tmp_path, parts, lambda s: S.late_data_stream(s, *S.GLOBAL_SCHEDULE))
+    sums = got.groupBy("delay_hours").agg(*[F.sum(c).alias(c) for c in ("posts", "caught", "missed")])
+    want = S.late_data(rows, *S.GLOBAL_SCHEDULE)
+    assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, want.collect()))
+    assert got.groupBy("run_at", "delay_hours").count().where("count > 1").count() == 0
+    assert 0 < sums.agg(F.sum("missed")).first()[0] < 200
