@@ -655,6 +655,15 @@ def find_matches(spark, sf):
     )
 
 
+@query
+def find_matches_many(spark, sf):
+    """A vocabulary of thousands of terms."""
+    terms = [a + b for a in D.TEST_SYLLABLES for b in D.TEST_SYLLABLES]
+    return D.posts(spark, sf, matching=True).select(
+        "post_id", F.array_join(X.find_matches(X.search_text(), terms), "|").alias("found")
+    )
+
+
 @query
 def find_matches_pages(spark, sf):
     """Long texts full of markup."""

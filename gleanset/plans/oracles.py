@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from gleanset.plans.catalog import BATCH, LIMIT, STORED_AGE_HOURS
 from gleanset.schemas import GRID_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS
 from gleanset.functions.values import POST_BASE_URL
-from gleanset.sources.testdata import TEST_COMMUNITIES, TEST_GROUPS, TEST_PAINS, TEST_TOOLS
+from gleanset.sources.testdata import TEST_COMMUNITIES, TEST_GROUPS, TEST_PAINS, TEST_SYLLABLES, TEST_TOOLS
 from gleanset.streaming.runs import CURATED_SCHEDULE, GLOBAL_SCHEDULE
 
 W = r"[^\p{L}\p{N}_]"
@@ -484,6 +484,16 @@ def all_oracles() -> dict[str, str]:
         "find_matches": with_posts(
             f"SELECT post_id, {listed([*TEST_PAINS, 'er'])} AS found FROM posts"
         ),
+        "find_matches_many": with_posts(
+            "syllables AS (SELECT unnest(list_zip(range(0, len(a)), a)) AS s FROM (SELECT ["
+            + ", ".join(f"'{x}'" for x in TEST_SYLLABLES) + "] AS a)), "
+            "terms AS (SELECT x.s[2] || y.s[2] AS term, x.s[1] AS i, y.s[1] AS j FROM syllables x, syllables y), "
+            "told AS (SELECT DISTINCT post_id, unnest(string_split_regex(lower(title || chr(10) || text), "
+            f"'{W}+')) AS term FROM posts), "
+            "hits AS (SELECT post_id, string_agg(term, '|' ORDER BY i, j) AS found FROM told JOIN terms USING (term) "
+            "GROUP BY post_id)",
+            "SELECT post_id, coalesce(found, '') AS found FROM posts LEFT JOIN hits USING (post_id)",
+        ),
         "find_matches_pages": (
             f"SELECT page_id, {listed([*TEST_TOOLS, 'utf-8', 'div', '</p>'], 'html')} AS found "
             "FROM pages"

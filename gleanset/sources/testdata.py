@@ -19,6 +19,12 @@ from gleanset.sources.raw import raw_flatten
 TEST_PAINS = ("it is", "was the", "for the", "in the", "of the", "thon", "er")
 TEST_TOOLS = ("thth", "la", "und", "el")
 TEST_GROUPS = (("it is", "was the"), ("for the", "in the", "of the"), ("thon",), ("er",))
+# Syllables of the test tables; every pair of them is a term of a large vocabulary.
+TEST_SYLLABLES = tuple(
+    "an en on er th sh re ti in es ou ed st le la de é è ê ç eau aux ment ai oi tre vi pa que elle "
+    "ion tion ier ch eux ré the and ing or ly ent nd ha at it is hes wh ble und ung ge be ver ein ich lich "
+    "heit keit sch ei ie der die das el os as ado ción mente ar ir".split()
+)
 TEST_COMMUNITIES = tuple(f"SRC{i}" for i in range(0, 24, 2))
 
 

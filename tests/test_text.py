@@ -1,3 +1,4 @@
+import random
 import re
 
 import pandas as pd
@@ -152,3 +153,57 @@ def test_term_counts_include_zero(spark):
     rows = posts(spark, [("1", "waiting", "wiki"), ("2", "waiting", "")])
     counts = matching.term_counts(rows, ["waiting", "mail"]).collect()
     assert [(r.ord, r.term, r.n_posts) for r in counts] == [(0, "waiting", 2), (1, "mail", 0)]
+
+
+def vocabulary_and_texts(seed, size):
+    """Terms that begin, end and hold one another, and texts made of them."""
+    draw = random.Random(seed)
+    parts = ["a", "ab", "was", "the", "é", "Éa", "straße", "c++", "x.y", "$", "_", "\u0301", "ſk", "Σ", "ς", "中", "9"]
+    terms = ["".join(draw.choice(parts) + draw.choice(["", "", " ", "-"]) for _ in range(draw.randint(1, 4))).strip()
+             for _ in range(size)]
+    terms = [draw.choice([t, t.lower(), t.upper()]) for t in terms] + ["", terms[0], terms[0]]
+    texts = [draw.choice(["", " ", ".", "a"]).join(draw.choice([draw.choice(terms), draw.choice(parts).upper()])
+             for _ in range(draw.randint(0, 12))) for _ in range(120)]
+    return terms, [*texts, "", None, "İ ı K \U0001d400 x"]
+
+
+@pytest.mark.parametrize("case_sensitive", [False, True])
+def test_large_vocabularies_are_matched_like_small_ones(spark, monkeypatch, case_sensitive):
+    terms, texts = vocabulary_and_texts(5, 240)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    many = X.find_many(F.col("text"), terms, case_sensitive)
+    one = X.any_term(F.col("text"), terms, case_sensitive)
+    got = [(r.text, r.many, r.one) for r in frame.select("text", many.alias("many"), one.alias("one")).collect()]
+    monkeypatch.setattr(X, "TRIE_TERMS", 10**9)
+    for at in range(0, len(terms), 81):
+        part = terms[at : at + 81]
+        plain = frame.select(X.find_matches(F.col("text"), part, case_sensitive).alias("found")).collect()
+        for (text, many, one), r in zip(got, plain, strict=True):
+            inside = [t for t in many if t in part]
+            assert [t for t in part if t in r.found] == [t for t in part if t in inside], text
+    flat = [[t for t in terms if t in many] for _, many, _ in got]
+    assert [many for _, many, _ in got] == flat  # in vocabulary order, repeated terms included
+    assert all(one == bool(many) for text, many, one in got if text is not None)
+    assert sum(len(f) for f in flat) > 300
+
+
+def test_five_thousand_terms(spark):
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcde") for _ in range(draw.randint(1, 4))) for _ in range(3000)]
+    terms = [" ".join(draw.sample(words, draw.choice([1, 1, 2, 3]))) for _ in range(4800)] + words[:200]
+    texts = [" ".join(draw.choice(words).title() for _ in range(draw.randint(0, 60))) for _ in range(50)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r.found for r in frame.select("id", X.find_matches(F.col("text"), terms).alias("found")).collect()}
+    for i, text in enumerate(texts):
+        padded = f" {text.lower()} "
+        assert got[i] == [t for t in terms if f" {t} " in padded]
+    assert sum(map(len, got.values())) > 500
+
+
+def test_a_trie_finds_what_its_terms_find():
+    terms = ["a", "ab", "abc", "abd", "b c", "b", "c++", "xyz"]
+    pattern = re.compile(X.trie_body(terms))
+    for t in terms:
+        assert pattern.fullmatch(t), t
+    for t in ["", "abx", "c", "c+", "xy", "b "]:
+        assert not pattern.fullmatch(t), t
