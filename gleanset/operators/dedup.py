@@ -28,11 +28,14 @@ HOT_SAMPLE_ROWS = 1_000_000
 # Frames counted at or below this many rows (keys only) are broadcast.
 BROADCAST_ROWS = 500_000
 
-# From this round on, a slice of about SLICE_ROWS earliest rows, four times that at
-# most, is settled in one task per round, so that a long chain needs few rounds.
+# From this round on, chains of rows that wait for one another are settled in row order: first
+# all components of at most SLICE_ROWS rows side by side, and then, of what is left, a slice of
+# about SLICE_ROWS earliest rows per round, four times that at most, in one task.
 SLICE_FROM_ROUND = 8
-SLICE_ROWS = 100_000
+SLICE_ROWS = 300_000
 SAMPLE_ROWS = 10_000
+# Steps of labelling: components some hundred links wide are known by then, and wider ones stay open.
+LABEL_STEPS = 8
 
 
 def free_names(columns: Sequence[str], *wanted: str) -> list[str]:
@@ -190,17 +193,79 @@ def _firsts(rows: DataFrame) -> DataFrame:
 
 
 def _keep_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of one part after another, as ``part`` tells; a part is let go when the next begins."""
     ids: set = set()
     texts: set = set()
+    now = None
     for batch in batches:
         kept = []
-        for i, t in zip(batch["id_key"], batch["text_key"], strict=True):
+        for part, i, t in zip(batch["part"], batch["id_key"], batch["text_key"], strict=True):
+            if part != now:
+                now, ids, texts = part, set(), set()
             free = i not in ids and t not in texts
             if free:
                 ids.add(i)
                 texts.add(t)
             kept.append(free)
-        yield batch[kept]
+        yield batch.loc[kept, ["id_key", "text_key"]]
+
+
+def _settle_in_order(rows: DataFrame) -> DataFrame:
+    """Kept rows of every ``part``, whose rows lie together and in order."""
+    kept = rows.select("part", "id_key", "text_key").mapInPandas(_keep_in_order, "id_key string, text_key string")
+    return rows.join(kept, ["id_key", "text_key"], "left_semi").select("id_key", "text_key", "ord")
+
+
+def _least_neighbour(pairs: DataFrame, own: bool) -> DataFrame:
+    """Links ``(x, y)``, ``x > y``, of the ``b`` of every vertex ``a`` to the least of them all.
+
+    With ``own``, ``a`` is linked as well; without it only those ``b`` that are larger than ``a``.
+    """
+    least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+    joined = pairs.join(least, "a")
+    linked = (joined if own else joined.where("b > a")).select(F.col("b").alias("x"), F.col("m").alias("y"))
+    if own:
+        linked = linked.unionByName(least.select(F.col("a").alias("x"), F.col("m").alias("y")))
+    return linked.where("x > y").distinct()
+
+
+def _labels(links: DataFrame, steps: int) -> DataFrame:
+    """``(vertex, label)`` after some steps of alternating stars (Kiveris et al., SoCC 2014).
+
+    Vertices with one label are connected.  Those without a row are their own label.
+    """
+    now = durable(links.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
+    for _ in range(steps):
+        there, back = now.toDF("a", "b"), now.toDF("b", "a")
+        large = _least_neighbour(there.unionByName(back), own=False)
+        now = durable(_least_neighbour(large.toDF("a", "b"), own=True))
+    return now.groupBy("x").agg(F.min("y").alias("label")).withColumnRenamed("x", "vertex")
+
+
+def settle_components(rows: DataFrame, most_rows: int, steps: int = LABEL_STEPS) -> DataFrame:
+    """Kept rows of all components that have at most ``most_rows`` rows and are known after some steps.
+
+    Ids and bodies are vertices, by 64-bit hash; a collision joins components and changes no result,
+    since a part of several is settled in row order too.  A label is a whole number of components
+    when no row has an end outside it; labels with such rows are left for slices.
+    """
+    ends = rows.withColumns({
+        "i": F.xxhash64(F.lit("id"), "id_key"), "t": F.xxhash64(F.lit("text"), "text_key"),
+    })
+    labels = durable(_labels(ends.select(F.col("i").alias("a"), F.col("t").alias("b")), steps))
+    named = durable(
+        ends.join(labels.toDF("i", "i_label"), "i", "left").join(labels.toDF("t", "t_label"), "t", "left")
+        .select(
+            "id_key", "text_key", "ord",
+            F.coalesce("i_label", "i").alias("part"), F.coalesce("t_label", "t").alias("other"),
+        )
+    )
+    crossing = named.where("part <> other").select(F.explode(F.array("part", "other")).alias("part")).distinct()
+    small = named.groupBy("part").count().where(F.col("count") <= most_rows).select("part")
+    whole = small.join(crossing, "part", "left_anti")
+    # Many partitions, so that parts of the greatest size seldom share a task; a task holds one at a time.
+    parts = named.join(whole, "part", "left_semi").repartition("part").sortWithinPartitions("part", "ord")
+    return _settle_in_order(parts)
 
 
 def _literal(value: object, kind: T.DataType) -> Column:
@@ -231,13 +296,8 @@ def _settle_earliest(rows: DataFrame, total: int, slice_rows: int) -> DataFrame
     if earliest is None:
         return None
     # A shuffle of the slice alone: coalescing would scan all rows in one task too.
-    one_task = earliest.repartition(1).sortWithinPartitions("ord")
-    kept = one_task.select("id_key", "text_key").mapInPandas(
-        _keep_in_order, "id_key string, text_key string"
-    )
-    return rows.join(F.broadcast(kept), ["id_key", "text_key"], "left_semi").select(
-        "id_key", "text_key", "ord"
-    )
+    one_task = earliest.withColumn("part", F.lit(0)).repartition(1).sortWithinPartitions("ord")
+    return _settle_in_order(one_task)
 
 
 def kept_rows(
@@ -258,7 +318,9 @@ def kept_rows(
     while total := rows.count():
         rounds += 1
         found = _firsts(rows)
-        if rounds >= slice_from_round:
+        if rounds == slice_from_round and total > slice_rows:
+            found = found.unionByName(settle_components(rows, slice_rows)).distinct()
+        elif rounds >= slice_from_round:
             settled = _settle_earliest(rows, total, slice_rows)
             found = found if settled is None else found.unionByName(settled).distinct()
         found = durable(found)
