@@ -13,6 +13,7 @@ from gleanset.operators import cleaning, dedup, matching, reports, search, sets
 from gleanset.plans import run as R
 from gleanset.plans.durable import durable, scratch_path
 from gleanset.sinks import stored as sink
+from gleanset.sources import archive
 from gleanset.sources import curated as C
 from gleanset.sources import stored as src
 from gleanset.sources import testdata as D
@@ -24,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ALL_HOURS = 24 * 365 * 3
 # The stored dataset holds the posts that were this old.
 STORED_AGE_HOURS = 36
+# Hours of the scan of the archive.
+ARCHIVE_HOURS = 40
 LIMIT = 20
 BATCH = 2
 
@@ -125,6 +128,17 @@ def multi_scan(spark, sf):
     return scan.select("list_pos", "subreddit", "post_id", "created_utc")
 
 
+@query
+def archive_scan(spark, sf):
+    """A listing scan of the last hours, over an archive of all posts laid out by time."""
+    posts, now = D.posts(spark, sf), D.clock(spark, sf)
+    path = scratch_path(spark, "archive")
+    archive.write_archive(posts, path)
+    recent = archive.archive_scan(spark, path, posts.schema, now, ARCHIVE_HOURS)
+    kept = C.multi_scan(recent, D.TEST_COMMUNITIES, ARCHIVE_HOURS, now)
+    return kept.select("post_id", "list_pos", "created_utc", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def source_skip(spark, sf):
     return C.source_skip(D.posts(spark, sf), D.TEST_COMMUNITIES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from gleanset.plans.catalog import BATCH, LIMIT, STORED_AGE_HOURS
+from gleanset.plans.catalog import ARCHIVE_HOURS, BATCH, LIMIT, STORED_AGE_HOURS
 from gleanset.schemas import GRID_COLUMNS, LABEL_COLUMNS, REVIEW_COLUMNS
 from gleanset.functions.values import POST_BASE_URL
 from gleanset.sources.testdata import TEST_COMMUNITIES, TEST_GROUPS, TEST_PAINS, TEST_SYLLABLES, TEST_TOOLS
@@ -257,6 +257,12 @@ def all_oracles() -> dict[str, str]:
             "SELECT list_pos::INTEGER AS list_pos, subreddit, post_id, created_utc FROM scan "
             "JOIN community_list ON lower(community) = lower(subreddit)",
         ),
+        "archive_scan": with_posts(
+            COMMUNITY_LIST,
+            "SELECT post_id, list_pos::INTEGER AS list_pos, created_utc, length(text) AS n_chars FROM posts "
+            "JOIN community_list ON lower(community) = lower(subreddit) "
+            f"WHERE created_utc >= (SELECT now - {ARCHIVE_HOURS * 3600} FROM clock)",
+        ),
         "source_skip": with_posts(
             COMMUNITY_LIST,
             "SELECT list_pos::INTEGER AS list_pos, community FROM community_list "
