@@ -125,7 +125,10 @@ def align(query, passage):
 
 
 def leaks(texts, items, least=0.6):
-    """Pairs with the share of the greatest score; only texts that share three words in a row."""
+    """Pairs with the share of the greatest score; only texts that share three words in a row.
+
+    Items of over 40 words are found from the score on that 40 words need.
+    """
     out = {}
     for k, text in texts:
         words = told_words(text)
@@ -133,9 +136,9 @@ def leaks(texts, items, least=0.6):
         for i, item in items:
             query = told_words(item)
             if any(tuple(query[j : j + 3]) in grams for j in range(len(query) - 2)):
-                score = align(query, words) / (2 * len(query))
-                if score >= least:
-                    out[k, i] = score
+                score = align(query, words)
+                if score >= 2 * least * min(len(query), 40) - 1e-9:
+                    out[k, i] = score / (2 * len(query))
     return out
 
 

@@ -192,6 +192,35 @@ def test_edited_leaks_are_found_whatever_trigrams_they_keep(spark):
         assert {(100 + i, i) for i in range(30)} | {(200 + i, i) for i in range(30)} | {(500, 0)} <= set(want)
 
 
+def test_copies_without_a_rare_trigram_are_found(spark):
+    draw = random.Random(4)
+    items = [(i, " ".join(f"q{i}x{j}" if draw.random() < 0.6 else f"c{j % 9}" for j in range(40))) for i in range(6)]
+    rows = []
+    for n in range(60):  # copies that differ around the item make all its trigrams common
+        rows.append((n, f"a{n} b{n} {items[n % 2][1]} y{n} z{n}"))
+    for n in range(60):
+        words = items[n % 6][1].split()
+        rows.append((100 + n, " ".join(w if draw.random() < 0.85 else f"e{n}" for w in words)))
+    rows += [(200 + n, " ".join(f"c{(n + j) % 9}" for j in range(50))) for n in range(20)]
+    want = plain.leaks(rows, items)
+    table, frame = spark.createDataFrame(items, "item_id bigint, text string"), docs(spark, rows)
+    for rare in (0, 10**9):
+        got = {(r.doc_id, r.item_id): r.score for r in find_leaks(frame, table, rare_pairs=rare).collect()}
+        assert got == pytest.approx(want)
+    assert {n for n, _ in want} >= set(range(60)) and len([n for n, _ in want if n >= 100]) > 30
+    assert all(n < 200 for n, _ in want)
+
+
+def test_excerpts_of_long_items_are_found(spark):
+    words = [f"w{j}" for j in range(59)]
+    table = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:12]))], "item_id bigint, text string")
+    rows = [(1, "so: " + " ".join(words[14:44]) + " and on"), (2, " ".join(words[20:43])), (3, " ".join(words[1:7])),
+            (4, " ".join(words))]
+    got = {(r.doc_id, r.item_id): r.score for r in find_leaks(docs(spark, rows), table).collect()}
+    assert got == {(1, 1): 30 / 59, (4, 1): 1.0, (4, 2): 1.0}
+    assert got == pytest.approx(plain.leaks(rows, [(1, " ".join(words)), (2, " ".join(words[:12]))]))
+
+
 @pytest.mark.parametrize("edits", [3, 9])
 def test_near_copy_cases(spark, edits):
     texts = [t for seed in range(4) for t in family(seed, 25, 60, edits)]
