@@ -17,8 +17,8 @@ vectors outside their group, in as many parts as their number asks for.  Pivots
 that members of two groups cannot be linked.
 
 Cases: null or zero vectors, and vectors with null or non-finite components, are linked with
-nothing; so are rows without an id, whose component is null.  Vectors of different lengths are
-not compared.  Rows that share an id count as one vertex.
+nothing; so are rows without an id, whose component is null.  Vectors of different lengths, of which
+there may be any number, are not compared.  Rows that share an id count as one vertex.
 """
 
 from __future__ import annotations
@@ -48,7 +48,6 @@ PIVOTS_AT_A_TIME = 4_096
 OVERLAP = 0.1
 # Members of dense groups in one part of a leaf.
 PART_VECTORS = 4_000
-MOST_LENGTHS = 64
 
 
 @dataclass(frozen=True)
@@ -337,6 +336,19 @@ def _length_links(rows: DataFrame, total: int, min_cosine: float, trees: int, le
     return pairs.where("a <> b").distinct(), balls
 
 
+def _few_links(usable: DataFrame, lengths: DataFrame, min_cosine: float, leaf: int) -> DataFrame:
+    """Pairs ``(a, b)`` among vectors of the lengths that have no more than a leaf's number, any number of lengths."""
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        ids, vectors = group["id"].to_numpy(), _matrix(group["v"])
+        pairs = leaf_pairs(vectors, np.zeros(len(ids), bool), True, min_cosine, leaf)
+        a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    few = usable.withColumn("n", F.size("v")).join(lengths.select("n"), "n", "left_semi")
+    return few.groupBy("n").applyInPandas(compare, "a bigint, b bigint").where("a <> b").distinct()
+
+
 def near_vectors(
     frame: DataFrame, key: str = "vec_id", vector: str = "embedding",
     *, min_cosine: float = MIN_COSINE, trees: int = TREES, leaf: int = LEAF_VECTORS,
@@ -344,12 +356,11 @@ def near_vectors(
     """One row per vector: its key, ``n_links``, ``component_id`` and ``kept``."""
     spark = frame.sparkSession
     usable, folded = _folded(_usable(frame, key, vector))
-    lengths = usable.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("many"))
-    lengths = lengths.limit(MOST_LENGTHS + 1).collect()
-    if len(lengths) > MOST_LENGTHS:
-        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
-    pairs = spark.createDataFrame([], "a bigint, b bigint")
+    lengths = stored(usable.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("many")), "lengths")
+    pairs = _few_links(usable, lengths.where(F.col("many") <= leaf), min_cosine, leaf)
     members = spark.createDataFrame([], "id bigint, ball string")
+    # Lengths of more vectors than a leaf holds have a forest each.
+    lengths = lengths.where(F.col("many") > leaf).orderBy("n").collect()
     for row in lengths:
         some = usable.where(F.size("v") == row["n"])
         found, balls = _length_links(some, row["many"], min_cosine, trees, leaf)
