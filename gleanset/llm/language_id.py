@@ -2,8 +2,8 @@
 
 Training counts n-grams of lower-cased characters per language in Spark (partial
 counts per task, then sums); the matrix of log-probabilities, languages times
-``buckets``, has a fixed size and is broadcast.  Scoring gathers the matrix rows of
-the n-grams that a text has and sums them per text in numpy.
+``buckets``, has a fixed size and is broadcast.  Scoring takes the n-grams of a batch of texts as one
+sparse matrix and multiplies it by that one in numpy.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0.  Rows
 without a text or a language take no part in training; a table without any gives a
@@ -30,7 +30,12 @@ BUCKETS = 1 << 15
 MOST_LANGUAGES = 500
 # Documented bound of the training sample: documents per language, about.
 SAMPLE_PER_LANGUAGE = 20_000
+# Below this score no language leads the others; a text of some words is far above it.
+MIN_SCORE = 0.4
 _PIECE_CHARS = 1 << 20
+# Numbers gathered at a time, and bytes of texts scored together.
+_ENTRIES = 1 << 21
+_SCORE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -53,12 +58,12 @@ def gram_buckets(codes: np.ndarray, size: int, buckets: int) -> np.ndarray:
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
 
 
 def _text_counts(text: str, sizes: tuple[int, ...], buckets: int) -> Iterator[np.ndarray]:
     """Buckets of a text's n-grams, piece by piece; a piece reaches as far as its last n-gram."""
-    text = f" {text} "
+    text = f" {text} ".lower()
     for at in range(0, len(text), _PIECE_CHARS):
         for size in sizes:
             yield gram_buckets(_codes(text[at : at + _PIECE_CHARS + size - 1]), size, buckets)
@@ -124,22 +129,43 @@ def train(
     return LanguageModel(languages, log_p, prior, sizes)
 
 
+def _batch_sums(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """Summed log-probabilities per text and language, and n-grams per text.
+
+    The n-grams of all texts are the entries of one sparse matrix, texts by buckets, in row order; its
+    product with the model's matrix is a gather and a sum per row, a bounded number of entries at a time.
+    """
+    lowered = [f" {t} ".lower() for t in texts]
+    codes = _codes("".join(lowered))
+    ends = np.cumsum([len(t) for t in lowered])
+    sums, grams = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
+    step = max(1024, _ENTRIES // len(model.languages))
+    for at in range(0, len(codes), step):
+        for size in model.sizes:
+            found = gram_buckets(codes[at : at + step + size - 1], size, len(model.log_p))
+            row = np.searchsorted(ends, np.arange(at, at + len(found)), side="right")
+            inside = np.arange(at, at + len(found)) + size <= ends[row]
+            found, row = found[inside], row[inside]
+            if not len(row):
+                continue
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            sums[row[first]] += np.add.reduceat(model.log_p[found], first, axis=0)
+            grams[row[first]] += np.diff(first, append=len(row))
+    return sums, grams
+
+
 def score_texts(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
     """Best language of each text and its posterior, tempered by the root of the n-gram count."""
-    names, scores = [], np.zeros(len(texts))
-    buckets = len(model.log_p)
-    for i, text in enumerate(texts):
-        if not model.languages or not text or not any(map(str.isalpha, text)):
-            names.append(UNDETERMINED)
-            continue
-        total, grams = np.zeros(len(model.languages)), 0
-        for found in _text_counts(text, model.sizes, buckets):
-            total += model.log_p[found].sum(0)
-            grams += len(found)
-        total = total + model.prior
-        best = int(np.argmax(total))  # of equal ones the first by name
-        names.append(model.languages[best])
-        scores[i] = 1.0 / np.exp((total - total[best]) / max(1.0, np.sqrt(grams))).sum()
+    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    told = [i for i, t in enumerate(texts) if model.languages and t and any(map(str.isalpha, t))]
+    if told:
+        sums, grams = _batch_sums([texts[i] for i in told], model)
+        sums += model.prior
+        best = sums.argmax(1)  # of equal ones the first by name
+        apart = sums - sums[np.arange(len(told)), best][:, None]
+        scores[told] = 1.0 / np.exp(apart / np.maximum(1.0, np.sqrt(grams))[:, None]).sum(1)
+        for i, k in zip(told, best, strict=True):
+            names[i] = model.languages[k]
     return names, scores
 
 
@@ -156,7 +182,7 @@ def identify(
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, _SCORE_BYTES):
             names, scores = score_texts(batch.column(column).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores)],

@@ -142,6 +142,50 @@ def leaks(texts, items, least=0.6):
     return out
 
 
+def bayes(labelled, texts, buckets=1 << 15):
+    """``{key: (language, score)}`` by multinomial naive Bayes over hashed n-grams, one n-gram at a time."""
+    full = (1 << 64) - 1
+
+    def bucket(gram):
+        key = len(gram)
+        for c in gram:
+            key = (key * 0x1F123BB5 + ord(c)) & full
+        key = ((key ^ (key >> 30)) * 0xBF58476D1CE4E5B9) & full
+        key = ((key ^ (key >> 27)) * 0x94D049BB133111EB) & full
+        return (key ^ (key >> 31)) % buckets
+
+    def grams(text):
+        text = f" {text} ".lower()
+        return Counter(text[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1))
+
+    known, rows, seen = {}, Counter(), {}
+
+    def at(gram):
+        return known.setdefault(gram, bucket(gram)) if gram not in known else known[gram]
+
+    for text, language in labelled:
+        rows[language] += 1
+        counts = seen.setdefault(language, Counter())
+        for gram, n in grams(text).items():
+            counts[at(gram)] += n
+    total = {k: sum(c.values()) + 0.1 * buckets for k, c in seen.items()}
+    out = {}
+    for key, text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out[key] = ("und", 0.0)
+            continue
+        held = grams(text)
+        logs = {
+            k: math.log(rows[k] / sum(rows.values()))
+            + sum(n * math.log((seen[k][at(g)] + 0.1) / total[k]) for g, n in held.items())
+            for k in sorted(seen)
+        }
+        best = max(logs, key=logs.get)
+        root = max(1.0, math.sqrt(sum(held.values())))
+        out[key] = (best, 1 / sum(math.exp((v - logs[best]) / root) for v in logs.values()))
+    return out
+
+
 def held_out(key):
     return zlib.crc32(str(key).encode()) % 4 == 2
 

@@ -301,6 +301,49 @@ def test_language_cases(spark):
     assert {r.lang_pred for r in language_id.identify(frame, none).collect()} == {"und"}
 
 
+def test_texts_are_scored_alike_alone_and_together(spark):
+    rows = [("the cat and the dog", "en"), ("le chat et la souris", "fr"), ("der hund und die katze", "de")] * 3
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    texts = ["la souris", "", None, "İstanbul Σας", "the " * 70_000, "x", "1 2", "und die katze " * 90_000, "\x00", "d"]
+    names, scores = language_id.score_texts(texts, model)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        (alone,), (own,) = language_id.score_texts([text], model)
+        assert (alone, own) == (name, pytest.approx(score))
+    want = plain.bayes(rows, list(enumerate(texts)))
+    assert names == [want[i][0] for i in range(len(texts))]
+    assert list(scores) == pytest.approx([want[i][1] for i in range(len(texts))])
+    assert language_id.score_texts([], model)[0] == []
+
+
+def test_any_number_of_vector_lengths(spark):
+    draw = random.Random(6)
+    rows = []
+    for n in range(1, 91):
+        base = [draw.gauss(0, 1) for _ in range(n)]
+        rows += [(10 * n, base), (10 * n + 1, [x * 1.5 + 0.01 for x in base]), (10 * n + 2, [-x for x in base])]
+    rows += [(2000 + i, [draw.gauss(0, 1) for _ in range(12)]) for i in range(90)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame, leaf=60).collect()}
+    assert got == plain.vector_links(rows)
+
+
+def test_the_forest_finds_pairs_at_the_threshold(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    near = draw.standard_normal((300, 64))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    side = draw.standard_normal((300, 64))
+    side -= (side * near).sum(1, keepdims=True) * near
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    pairs = 0.952 * near + np.sqrt(1 - 0.952**2) * side
+    table = np.concatenate([near, pairs, draw.standard_normal((9_400, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(table)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame, leaf=10).collect()}  # ten levels
+    assert sum(got[i] == 1 for i in range(300)) >= 0.98 * 300
+    assert sum(got.values()) <= 600
+
+
 def test_token_and_bpe_cases(spark):
     texts = [None, "", "<|endoftext|>x<|endoftext|>", "\x00 é 😀", LONG[:200_000], "a" * 20_000, "  \n\n "]
     frame = docs(spark, list(enumerate(texts))).withColumn("ids", F.lit("clash"))

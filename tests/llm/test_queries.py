@@ -96,6 +96,15 @@ def test_language_id(spark):
     assert right >= 0.97 * len(apart)
 
 
+def test_language_id_equals_the_plain_rule(spark):
+    told = rows("documents", "doc_id, text, lang")
+    labelled = [(t, l) for k, t, l in told if t is not None and l is not None and not plain.held_out(k)]
+    want = plain.bayes(labelled, [(k, t) for k, t, _ in told])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in run(spark, "op8_language_id")}
+    assert {k: name for k, (name, _) in got.items()} == {k: name for k, (name, _) in want.items()}
+    assert {k: s for k, (_, s) in got.items()} == pytest.approx({k: s for k, (_, s) in want.items()}, abs=1e-6)
+
+
 def test_token_counts(spark):
     model = sentencepiece.SentencePieceProcessor(
         model_file=public_tokenizers.path("piece_bpe_32k.model")
