@@ -25,10 +25,15 @@ def _documents_like(frame: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language, with the predicted one as ``lang``; others are rejected."""
+    """Documents in a learned language, with the predicted one as ``lang``; others are rejected.
+
+    So are those scored below ``language_id.MIN_SCORE``, where no language leads.
+    """
     model = language_id.train(docs, key=F.col("doc_id"))
     told = language_id.identify(spread(docs, "doc_id"), model)
-    known = told.where(F.col("lang_pred") != language_id.UNDETERMINED)
+    known = told.where(
+        (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= language_id.MIN_SCORE)
+    )
     return known.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
