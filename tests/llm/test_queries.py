@@ -128,7 +128,10 @@ def test_bpe(spark):
 
 
 def test_pipeline(spark):
-    documents = [r for r in rows("documents", "doc_id, text, source")]
+    told = rows("documents", "doc_id, text, lang, source")
+    labelled = [(t, l) for _, t, l, _ in told if t is not None and l is not None]
+    scored = plain.bayes(labelled, [(k, t) for k, t, _, _ in told])
+    documents = [(k, t, s) for k, t, _, s in told if scored[k][0] != "und" and scored[k][1] >= 0.4]
     by_source, pages = {}, {}
     for _, text, source in documents:
         pages[source] = pages.get(source, 0) + 1
@@ -152,6 +155,33 @@ def test_pipeline(spark):
     assert all(r.round_trip for r in result)
 
 
+def test_pipeline_stage_cases(spark):
+    """Nulls in any column, empty and repeated rows, ties, and no rows at all, through every stage."""
+    texts = ["the cat and the dog sat on the mat", "le chat et la souris dans la maison", "der hund und die katze im haus",
+             "el perro y la casa de los gatos"]
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    told = [(10 * i + j, f"{t} {j} {t}", "en fr de es".split()[i], "s", 1) for i, t in enumerate(texts) for j in range(4)]
+    told += [(100, None, "en", "s", 0), (101, "", None, None, None), (102, "12 !", "en", "s", 4), (103, "\u0436", None, "s", 1),
+             (104, texts[0], None, None, None), (105, texts[0], "en", "s", 5), (0, told[0][1], "en", "s", 1),
+             (None, texts[2], "de", None, 3)]
+    frame = spark.createDataFrame(told, kind)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language_id"](spark, frame, str(SF))
+    assert kept.columns == corpus_pipeline.COLUMNS
+    # Without a text, without a letter, and one letter of no learned language.
+    assert {100, 101, 102, 103}.isdisjoint({r.doc_id for r in kept.collect()})
+    assert kept.count() == len(told) - 4
+    docs = frame
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, frame.limit(0), str(SF))
+        assert empty.count() == 0
+        docs = stage(spark, docs, str(SF))
+        assert docs.columns == empty.columns
+    out = docs.collect()
+    assert {r.doc_id for r in out} >= {0, 10, 20, 30, 104, None} and all(r.round_trip for r in out)
+    assert 105 not in {r.doc_id for r in out}  # a copy of 104
+
+
 def test_centroids(spark):
     found = [
         (r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256)
