@@ -26,8 +26,21 @@ SCHEMAS = {
 }
 
 
+# Rows of a batch between the JVM and Python workers, where the session sets none: whole texts are
+# long, and Spark's default of 10,000 of them is a scan task's whole input, held on both sides.
+BATCH_ROWS = 1_000
+_BATCH_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by ``BATCH_ROWS``, unless the session has a bound of its own."""
+    if spark.conf.get(_BATCH_ROWS_SETTING, None) is None:
+        spark.conf.set(_BATCH_ROWS_SETTING, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
