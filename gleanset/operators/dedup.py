@@ -28,6 +28,11 @@ HOT_SAMPLE_ROWS = 1_000_000
 # Frames counted at or below this many rows (keys only) are broadcast.
 BROADCAST_ROWS = 500_000
 
+# Bits of the filter of keys that rows and a store share: 4 MB, whatever the number of keys.
+FILTER_BITS = 1 << 25
+# Tasks over which rows of one key are dealt where they meet the shared keys.
+SALTS = 16
+
 # From this round on, chains of rows that wait for one another are settled in row order: first
 # all components of at most SLICE_ROWS rows side by side, and then, of what is left, a slice of
 # about SLICE_ROWS earliest rows per round, four times that at most, in one task.
@@ -82,25 +87,51 @@ def existence_sets(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def anti_id(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose id is blank or not stored."""
+    """Rows whose id is blank or not stored.  Every key is salted, so ``hot_rows`` has no effect."""
     ids, _ = existence_sets(stored)
-    return _anti(rows, id_key(), ids, hot_rows)
+    return _anti(rows, id_key(), ids)
 
 
 def anti_text(rows: DataFrame, stored: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose body is blank or not stored, byte for byte."""
+    """Rows whose body is blank or not stored, byte for byte; ``hot_rows`` as for :func:`anti_id`."""
     _, texts = existence_sets(stored)
-    return _anti(rows, text_key(), texts, hot_rows)
+    return _anti(rows, text_key(), texts)
+
 
+def _anti(rows: DataFrame, value: Column, taken: DataFrame) -> DataFrame:
+    """Rows with a blank key and rows whose key is not taken; no job runs before an action.
 
-def _anti(rows: DataFrame, value: Column, taken: DataFrame, hot_rows: int) -> DataFrame:
-    """Rows with a blank key, which go past the join, and rows whose key is not taken."""
-    (key,) = free_names(rows.columns, "_key")
+    The keys that rows and store share are found from keys alone.  A bitmap of their hashes,
+    of at most ``FILTER_BITS`` bits, is broadcast; rows whose bit is not set stay where they
+    lie.  Only the others, nearly all of which go, meet the shared keys themselves in an
+    anti-join, salted by task so that a key with very many rows is dealt to ``SALTS`` tasks.
+    """
+    key, maybe, salt = free_names(rows.columns, "_key", "_maybe", "_salt")
     keyed = rows.withColumn(key, value)
-    blank = keyed.where(F.col(key).isNull())
-    named = keyed.where(F.col(key).isNotNull())
-    hot = _hot_keys(_hot_sample(named.select(key), named.count(), hot_rows), key)
-    return _without(named, taken.toDF(key), key, hot).unionByName(blank).drop(key)
+    shared = taken.toDF(key).join(keyed.select(key).distinct(), key, "left_semi")
+    marked = _in_filter(keyed, shared, key, maybe)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    doubtful = marked.where(maybe).withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    fresh = doubtful.join(shared.withColumn(salt, salts), [key, salt], "left_anti")
+    return marked.where(~F.col(maybe)).select(*rows.columns).unionByName(fresh.select(*rows.columns))
+
+
+def _in_filter(rows: DataFrame, keys: DataFrame, key: str, mark: str) -> DataFrame:
+    """The rows with a mark that is false only where ``key`` is null or certainly not in ``keys``."""
+    place, number, bits = free_names([*rows.columns, mark], "_bit", "_bucket", "_bits")
+    hashed = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    # A bitmap of the built-in functions has 32,768 bits, so there are at most FILTER_BITS / 32,768 rows.
+    filters = (
+        keys.select(hashed.alias(place))
+        .groupBy(F.bitmap_bucket_number(place).alias(number))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bits))
+    )
+    named = rows.withColumn(place, F.when(F.col(key).isNotNull(), hashed))
+    found = named.withColumn(number, F.bitmap_bucket_number(place)).join(F.broadcast(filters), number, "left")
+    at = F.bitmap_bit_position(place)
+    byte = F.substring(F.col(bits), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    return found.withColumn(mark, F.coalesce(is_set, F.lit(False))).drop(place, number, bits)
 
 
 def _hot_sample(rows: DataFrame, total: int, hot_rows: int) -> tuple[DataFrame, int] | None:

@@ -177,6 +177,38 @@ def test_anti_joins_and_sets(spark):
     assert (ids.count(), texts.count()) == (1, 1)
 
 
+@pytest.mark.parametrize("bits", [32_768, dedup.FILTER_BITS])
+def test_anti_joins_with_a_filter_that_errs(spark, monkeypatch, bits):
+    """Keys whose hashes meet in the bitmap are still told apart, and nulls go past it."""
+    monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+    rows = spark.range(40_000).selectExpr(
+        "if(id % 9 = 0, null, concat('i', id % 30000)) as id", "concat('t', id % 20000) as selftext", "id as n"
+    )
+    stored = spark.range(0, 60_000, 3).selectExpr("concat('i', id) as id", "concat('t', id) as selftext")
+    names, texts = ({f"{c}{k}" for k in range(0, 60_000, 3)} for c in "it")
+    every = rows.collect()
+    assert sorted(r.n for r in dedup.anti_id(rows, stored).collect()) == [r.n for r in every if r.id not in names]
+    assert sorted(r.n for r in dedup.anti_text(rows, stored).collect()) == [
+        r.n for r in every if r.selftext not in texts
+    ]
+
+
+def test_anti_joins_start_no_job_and_move_few_bodies(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("concat('i', id) as id", "repeat(concat('t', id), 50) as selftext")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    stored = rows.where("substring(id, 2) % 500 = 0")
+    before = spark._jsc.sc().dagScheduler().numTotalJobs()
+    found = dedup.anti_id(rows, stored)
+    assert spark._jsc.sc().dagScheduler().numTotalJobs() == before
+    assert found.count() == 20_000 - 40
+    marked = dedup._in_filter(
+        rows.withColumn("k", dedup.id_key()), stored.select(dedup.id_key().alias("k")), "k", "maybe"
+    )
+    # Only rows whose bit is set go on to the join, and those are the stored ones.
+    assert 40 <= marked.where("maybe").count() <= 45
+
+
 def test_keys_not_bodies_are_shuffled(spark):
     frame = spark.range(5).select(
         F.col("id").cast("string").alias("id"), F.lit("b").alias("selftext"), F.col("id").alias("n")
