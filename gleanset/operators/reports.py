@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanset.functions.text import search_text, term_matches
 from gleanset.functions.values import epoch_to_iso, percent, window_hours
-from gleanset.operators.search import newest_first
+from gleanset.operators.search import batch_funnel, funnel_total, newest_first
 from gleanset.operators.sets import distinct_by_id
+from gleanset.sources.curated import community_counts
 
 
 def _bounds(flag: Column | None, prefix: str) -> list[Column]:
@@ -147,6 +150,47 @@ def run_result(
     )
 
 
+def run_reports(
+    curated: DataFrame | None,
+    communities: Sequence[str],
+    found: DataFrame | None,
+    batches: Sequence[Sequence[str]],
+) -> DataFrame:
+    """What each part of a run found; one row per ``kind``, ``number``, and ``name``.
+
+    ``community``: ``posts`` of each listed community within the lookback, by place in the list.
+    ``batch``: per search, its ``raw`` candidates, those ``within_lookback``, and ``posts`` first
+    accepted there; its terms are the name.  ``search``: distinct ``posts`` over all
+    searches, whose number it carries.  A stream given as None has no rows.  ``found`` comes
+    from ``global_candidates``.
+    """
+    if curated is None and found is None:
+        raise ValueError("a run has at least one stream")
+    none = F.lit(None).cast("bigint")
+    parts = []
+    if curated is not None:
+        listed = community_counts(curated, communities)
+        parts.append(listed.select(
+            F.lit("community").alias("kind"), F.col("list_pos").cast("int").alias("number"),
+            F.col("community").alias("name"), none.alias("raw"), none.alias("within_lookback"), "posts",
+        ))
+    if found is not None:
+        names = F.array(*[F.lit(", ".join(b)) for b in batches])
+        parts.append(batch_funnel(found, len(batches)).select(
+            F.lit("batch").alias("kind"), F.col("batch").alias("number"),
+            F.element_at(names, F.col("batch")).alias("name"), "raw", "within_lookback",
+            F.col("new_exact").alias("posts"),
+        ))
+        parts.append(funnel_total(found, len(batches)).select(
+            F.lit("search").alias("kind"), F.col("batches").alias("number"), F.lit("all").alias("name"),
+            none.alias("raw"), none.alias("within_lookback"), F.col("distinct_matches").alias("posts"),
+        ))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def store_audit(before: DataFrame, after: DataFrame, expected_new: int) -> DataFrame:
     """After a write: is the schema the same, did the row count grow as it should, are ids unique?
 

@@ -142,13 +142,15 @@ def global_search(
     by several batches belongs to the first.  ``(batch, rank)`` is the order.
     """
     found = global_candidates(posts, pains, tools, lookback_hours, now, **options)
+    return accepted_posts(found, pains, tools, case_sensitive=options.get("case_sensitive", False))
+
+
+def accepted_posts(
+    found: DataFrame, pains: Sequence[str], tools: Sequence[str], *, case_sensitive: bool = False
+) -> DataFrame:
+    """The result of a search, from its candidates as :func:`global_candidates` marks them."""
     accepted = first_seen(found.where(F.col("within") & F.col("exact")))
-    matched = matched_arrays(
-        accepted,
-        V.nonblank_terms(pains),
-        V.nonblank_terms(tools),
-        options.get("case_sensitive", False),
-    )
+    matched = matched_arrays(accepted, V.nonblank_terms(pains), V.nonblank_terms(tools), case_sensitive)
     return matched.drop("within", "exact")
 
 

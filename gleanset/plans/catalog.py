@@ -496,6 +496,23 @@ def run_result(spark, sf):
     return outcome.result
 
 
+@query
+def run_reports(spark, sf):
+    """What each listing and each search of a run found, searches being loose and of the last day."""
+    options = {"batch_size": BATCH, "search_limit": LIMIT, "whole_word": False}
+    outcome = R.run_batch(
+        spark,
+        D.posts(spark, sf, matching=True),
+        _store(spark, sf, "sheets"),
+        "one",
+        settings(curated_hours=13, global_hours=6, search_options=options),
+        D.clock(spark, sf),
+        backend="sheets",
+        dry_run=True,
+    )
+    return outcome.reports
+
+
 @query
 def community_counts(spark, sf):
     posts, now = D.posts(spark, sf), D.clock(spark, sf)
@@ -590,6 +607,14 @@ def ordered_dedup_actions(spark, sf):
     )
 
 
+@query
+def ordered_dedup_ties(spark, sf):
+    """Actions known by the hour only, so that most rows tie in order."""
+    hour = F.floor(F.col("us") / F.lit(3_600_000_000)).alias("hour")
+    rows = D.actions(spark, sf).select("id", "selftext", hour)
+    return dedup.ordered_dedup(rows, None, ["hour"])
+
+
 # --- sorts, limits, sets -------------------------------------------------------------
 
 

@@ -381,6 +381,20 @@ def all_oracles() -> dict[str, str]:
             "(SELECT count(*) FROM candidates) AS combined_candidates, "
             "(SELECT count(*) FROM kept) AS unique_posts, true AS uploaded",
         ),
+        "run_reports": with_posts(
+            RECENT,
+            COMMUNITY_LIST,
+            "SELECT 'community' AS kind, list_pos::INTEGER AS number, community AS name, "
+            "NULL::BIGINT AS raw, NULL::BIGINT AS within_lookback, count(post_id) AS posts "
+            "FROM community_list LEFT JOIN posts ON lower(subreddit) = lower(community) "
+            "AND created_utc >= (SELECT now - 13 * 3600 FROM clock) GROUP BY ALL "
+            "UNION ALL SELECT 'batch', b.batch::INTEGER, b.name, count(f.post_id), "
+            "count(*) FILTER (f.within), "
+            "(SELECT count(*) FROM firsts WHERE firsts.batch = b.batch) FROM (VALUES "
+            + ", ".join(f"({i}, '{', '.join(b)}')" for i, b in enumerate(BATCHES, start=1))
+            + ") AS b(batch, name) LEFT JOIN found f ON f.batch = b.batch GROUP BY b.batch, b.name "
+            f"UNION ALL SELECT 'search', {len(BATCHES)}::INTEGER, 'all', NULL, NULL, count(*) FROM firsts",
+        ),
         "community_counts": with_posts(
             COMMUNITY_LIST,
             "SELECT list_pos::INTEGER AS list_pos, community, count(post_id) AS posts "
@@ -458,6 +472,14 @@ def all_oracles() -> dict[str, str]:
             f"{one_by_one('rows', None)} "
             "SELECT event_id, id, selftext FROM actions JOIN kept USING (ord)"
         ),
+        "ordered_dedup_ties": (
+            "WITH alike AS (SELECT DISTINCT 'u' || user_id AS id, props || '|' || event_type AS selftext, "
+            "epoch_us(ts) // 3600000000 AS hour FROM events), "
+            "actions AS MATERIALIZED (SELECT *, row_number() OVER "
+            "(ORDER BY hour, id, to_base64(unhex(sha256(selftext)))) AS ord FROM alike), "
+            f"rows AS (SELECT ord, id, md5(selftext) AS key FROM actions), {one_by_one('rows', None)} "
+            "SELECT id, selftext, hour FROM actions JOIN kept USING (ord)"
+        ),
         "newest_sort": with_posts("SELECT post_id, created_utc FROM posts"),
         "source_order": with_posts(
             STREAMS,

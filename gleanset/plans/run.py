@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from gleanset import vocabulary as V
 from gleanset.operators.cleaning import clean_posts
 from gleanset.operators.dedup import known_keys, ordered_dedup
-from gleanset.operators.reports import provenance, run_result
-from gleanset.operators.search import check_search, global_search
+from gleanset.operators.reports import provenance, run_reports, run_result
+from gleanset.operators.search import accepted_posts, check_search, global_candidates
 from gleanset.operators.sets import SOURCE_ORDER, check_stream, source_order, stream_union
 from gleanset.plans.durable import durable
 from gleanset.sinks.stored import current_version, verified_append
@@ -43,23 +43,27 @@ class RunSettings:
 
 @dataclass(frozen=True)
 class RunOutcome:
-    """Kept rows and the one-row counters of a run; ``candidates`` only in a dry run."""
+    """Kept rows and the one-row counters of a run.
+
+    ``candidates`` only in a dry run; ``reports`` (see ``run_reports``) unless no stream ran.
+    """
 
     kept: DataFrame
     result: DataFrame
     uploaded: bool
     candidates: DataFrame | None = None
+    reports: DataFrame | None = None
 
 
-def collect_streams(
+def scan_streams(
     posts: DataFrame,
     settings: RunSettings,
     now: datetime,
     stream: str = "both",
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """The chosen streams; a stream not chosen, or search switched off, is None."""
+    """The curated stream, and the marked candidates of all searches; None what is not to run."""
     check_stream(stream)
-    curated = searched = None
+    curated = found = None
     if stream in ("both", "curated"):
         curated = multi_scan(
             posts,
@@ -69,7 +73,7 @@ def collect_streams(
             newest_first=settings.listings_newest_first,
         )
     if stream in ("both", "global") and settings.search_enabled:
-        searched = global_search(
+        found = global_candidates(
             posts,
             settings.pains,
             settings.tools,
@@ -78,7 +82,24 @@ def collect_streams(
             case_sensitive=settings.case_sensitive,
             **settings.search_options,
         )
-    return curated, searched
+    return curated, found
+
+
+def searched_posts(found: DataFrame | None, settings: RunSettings) -> DataFrame | None:
+    if found is None:
+        return None
+    return accepted_posts(found, settings.pains, settings.tools, case_sensitive=settings.case_sensitive)
+
+
+def collect_streams(
+    posts: DataFrame,
+    settings: RunSettings,
+    now: datetime,
+    stream: str = "both",
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The chosen streams; a stream not chosen, or search switched off, is None."""
+    curated, found = scan_streams(posts, settings, now, stream)
+    return curated, searched_posts(found, settings)
 
 
 def new_rows(candidates: DataFrame, stored: DataFrame | None) -> DataFrame:
@@ -112,9 +133,11 @@ def run_batch(
     base = current_version(spark, store)
     at = base.number if base.number >= 0 else None
     stored = snapshot_read(spark, store, backend, except_run=run, version=at)
-    curated, searched = collect_streams(posts, settings, now, stream)
+    curated, found = scan_streams(posts, settings, now, stream)
     curated = None if curated is None else durable(curated)
-    searched = None if searched is None else durable(searched)
+    # Candidates are bounded by the searches' limits; the reports count them, and the search goes on from them.
+    found = None if found is None else durable(found)
+    searched = None if found is None else durable(searched_posts(found, settings))
     if curated is None and searched is None:
         empty = clean_posts(posts.limit(0))
         stages = {
@@ -125,6 +148,9 @@ def run_batch(
         }
         return RunOutcome(empty, run_result(stages, False), False)
 
+    batch_size = settings.search_options.get("batch_size", V.BATCH_SIZE)
+    batches = V.term_batches(V.nonblank_terms(settings.pains), batch_size) if found is not None else []
+    reports = run_reports(curated, settings.communities, found, batches)
     candidates = stream_union(curated, searched)
     cleaned = clean_posts(candidates, *SOURCE_ORDER)
     known = known_keys(cleaned, snapshot_keys(spark, store, backend, except_run=run, version=at))
@@ -140,7 +166,7 @@ def run_batch(
         nothing = searched if searched is not None else _no_search(curated)
         held = curated if curated is not None else searched.limit(0)
         tagged = source_order(provenance(fresh, held, nothing)).drop(*SOURCE_ORDER)
-        return RunOutcome(kept, run_result(stages, False), False, tagged)
+        return RunOutcome(kept, run_result(stages, False), False, tagged, reports)
 
     def renew(added: DataFrame) -> DataFrame:
         nonlocal known
@@ -150,7 +176,7 @@ def run_batch(
 
     uploaded = verified_append(kept, store, run, backend, since=base, renew=renew) > 0
     kept = stages["unique_posts"].drop(*SOURCE_ORDER)
-    return RunOutcome(kept, run_result(stages, uploaded), uploaded)
+    return RunOutcome(kept, run_result(stages, uploaded), uploaded, reports=reports)
 
 
 def _no_search(curated: DataFrame) -> DataFrame:

@@ -128,6 +128,24 @@ def test_streams_alone(spark, tmp_path, stream, enabled, kept, dry_run):
     assert outcome.result.first().existing_rows == 2
 
 
+@pytest.mark.parametrize("stream", ["both", "curated", "global"])
+def test_reports_tell_what_each_part_found(spark, tmp_path, stream):
+    outcome = run(spark, store_with_rows(spark, tmp_path, "sheets"), "sheets", stream=stream, dry_run=stream == "global")
+    told = {"community": [], "batch": [], "search": []}
+    for row in outcome.reports.collect():
+        told[row.kind].append(row)
+    counts = outcome.result.first()
+    assert sum(r.posts for r in told["community"]) == counts.curated_posts
+    assert sum(r.posts for r in told["batch"]) == counts.global_posts == sum(r.posts for r in told["search"])
+    assert [r.name for r in sorted(told["community"], key=lambda r: r.number)] == (
+        [] if stream == "global" else list(SETTINGS.communities)
+    )
+    assert [r.number for r in sorted(told["batch"], key=lambda r: r.number)] == (
+        [] if stream == "curated" else list(range(1, told["search"][0].number + 1))
+    )
+    assert all(r.raw >= r.within_lookback >= r.posts for r in told["batch"])
+
+
 @pytest.mark.parametrize("bad", [{"stream": "all"}, {"backend": "disk"}])
 def test_names_are_checked(spark, tmp_path, bad):
     with pytest.raises(ValueError):
