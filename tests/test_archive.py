@@ -75,3 +75,14 @@ def test_archive_cases(spark, posts, tmp_path):
     assert archive.archive_scan(spark, made, posts.schema, NOW, 5).count() == 0
     with pytest.raises(ValueError, match="day"):
         archive.write_archive(posts.withColumn("Day", F.lit(1)), made)
+
+
+def test_long_posts_are_dealt_by_their_bytes(spark, tmp_path):
+    """Few rows with much text, all of one time or of none, go to many tasks."""
+    rows = [("a" * 3, "c", False, i, None if i % 2 else 5.0, "y" * 1_000) for i in range(400)]
+    posts = spark.createDataFrame(rows, POSTS)
+    path = str(tmp_path / "posts")
+    archive.write_archive(posts, path, file_bytes=40_000)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert sum(r["count"] for r in files) == 400
+    assert len(files) >= 8 and max(r["count"] for r in files) <= 100
