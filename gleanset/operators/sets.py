@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanset.functions.values import body_digest
+from gleanset.schemas import BODY_DIGEST
 
 STREAMS = ("both", "curated", "global")
 
@@ -24,7 +25,7 @@ def stream_union(curated: DataFrame | None, searched: DataFrame | None) -> DataF
 
     Curated posts go by community, then newest first (or by listing place);
     searched posts by batch, then rank.  The order is data: no global sort and no
-    global numbering takes place.
+    global numbering takes place.  Posts that bring digests of their bodies are not read for them.
     """
     parts = []
     if curated is not None:
@@ -48,10 +49,17 @@ def stream_union(curated: DataFrame | None, searched: DataFrame | None) -> DataF
         )
     if not parts:
         raise ValueError("a union needs at least one stream")
+    parts = [_with_body_key(p) for p in parts]
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p, allowMissingColumns=True)
-    return whole.withColumn("body_key", body_digest(F.coalesce("text", F.lit(""))))
+    return whole
+
+
+def _with_body_key(posts: DataFrame) -> DataFrame:
+    if BODY_DIGEST in posts.columns:
+        return posts.withColumn("body_key", F.col(BODY_DIGEST)).drop(BODY_DIGEST)
+    return posts.withColumn("body_key", body_digest(F.coalesce("text", F.lit(""))))
 
 
 def source_order(rows: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def collect_streams(
 def new_rows(candidates: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Cleaned candidates that are new, with their source order columns."""
     cleaned = clean_posts(candidates, *SOURCE_ORDER)
-    return ordered_dedup(cleaned, stored, SOURCE_ORDER)
+    return ordered_dedup(cleaned, stored, SOURCE_ORDER, digest="body_key")
 
 
 def run_batch(
@@ -153,8 +153,9 @@ def run_batch(
     reports = run_reports(curated, settings.communities, found, batches)
     candidates = stream_union(curated, searched)
     cleaned = clean_posts(candidates, *SOURCE_ORDER)
-    known = known_keys(cleaned, snapshot_keys(spark, store, backend, except_run=run, version=at))
-    fresh = durable(ordered_dedup(cleaned, known, SOURCE_ORDER))
+    stored_now = snapshot_keys(spark, store, backend, except_run=run, version=at)
+    known = known_keys(cleaned, stored_now, digest="body_key")
+    fresh = durable(ordered_dedup(cleaned, known, SOURCE_ORDER, digest="body_key"))
     stages = {
         "existing_rows": stored,
         "curated_posts": curated,
@@ -170,8 +171,8 @@ def run_batch(
 
     def renew(added: DataFrame) -> DataFrame:
         nonlocal known
-        known = known.unionByName(known_keys(cleaned, added))
-        stages["unique_posts"] = durable(ordered_dedup(cleaned, known, SOURCE_ORDER))
+        known = known.unionByName(known_keys(cleaned, added, digest="body_key"))
+        stages["unique_posts"] = durable(ordered_dedup(cleaned, known, SOURCE_ORDER, digest="body_key"))
         return stages["unique_posts"].drop(*SOURCE_ORDER)
 
     uploaded = verified_append(kept, store, run, backend, since=base, renew=renew) > 0

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gleanset.functions.values import EMPTY_DIGEST, body_digest
 from gleanset.operators import dedup
 
 SCHEMA = "ord bigint, id string, selftext string"
@@ -252,3 +253,47 @@ def test_components_of_random_rows_equal_the_rule(spark, seed):
     frame = spark.createDataFrame(rows, SCHEMA).toDF("ord", "id_key", "text_key")
     kept, _ = dedup.kept_rows(frame, slice_from_round=1, slice_rows=40)
     assert sorted(r.ord for r in kept.collect()) == in_order(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("bits", [8, 1 << 25])
+def test_digests_and_filters_change_no_row(spark, monkeypatch, seed, few, bits):
+    """Few kept rows and many, by broadcast and by shuffle, with bodies and with digests of them."""
+    monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+    rng = random.Random(seed)
+    rows = random_rows(rng, 80, *((5, 6) if few else (400, 500)))
+    rows += [(o + 1, i, t) for o, i, t in rows[:5]]  # a second copy; its place is another, mostly
+    rows = list({o: (o, i, t) for o, i, t in rows}.values())
+    stored = [(f"i{k}", f"t{k + 1}") for k in range(0, 400, 97)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("ord", "no")
+    digested = frame.withColumn("d", body_digest(F.coalesce("selftext", F.lit(""))))
+    old = spark.createDataFrame(stored, "id string, selftext string")
+    want = in_order(rows, stored)
+    assert (2 * len(want) <= len(rows)) == few
+    for most in (0, dedup.BROADCAST_ROWS):
+        monkeypatch.setattr(dedup, "BROADCAST_ROWS", most)
+        for some, digest in ((frame, None), (digested, "d")):
+            kept = dedup.ordered_dedup(some, old, ["no"], digest=digest)
+            assert kept.columns == some.columns
+            assert sorted(r.no for r in kept.collect()) == want
+
+
+def test_bodies_of_dropped_rows_do_not_meet_a_join_below(spark, tmp_path):
+    """The filter on ids lies below a join by which rows were made, above the scan of their bodies."""
+    made = spark.range(2_000).selectExpr("id as n", "concat('i', id) as id", "repeat(concat('t', id), 9) as selftext")
+    made.write.parquet(str(tmp_path / "bodies"))
+    times = spark.range(2_000).selectExpr("id as n", "-id as at").hint("merge")
+    bodies = spark.read.parquet(str(tmp_path / "bodies")).withColumn("d", body_digest(F.col("selftext")))
+    rows = bodies.join(times, "n").selectExpr("concat('', id) as id", "concat(selftext, '') as selftext", "at", "d")
+    stored = made.where("n % 50 <> 0").select("id", "selftext")
+    kept = dedup.ordered_dedup(rows, stored, ["at"], digest="d")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.id for r in kept.collect()) == sorted(f"i{n}" for n in range(0, 2_000, 50))
+    # Other scans are those for rows blank in both keys, which are told by keys below the join as well.
+    scans = [above[above.rindex("Join"):] for above in plan.split("Relation [")[:-1] if "Join" in above]
+    assert any("getbit" in above for above in scans)
+
+
+def test_digest_of_the_empty_text(spark):
+    assert spark.range(1).select(body_digest(F.lit(""))).first()[0] == EMPTY_DIGEST
