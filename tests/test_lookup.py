@@ -23,3 +23,8 @@ def test_partition_check_matches_every_text_once(spark, monkeypatch):
     sides = {"thon": "missing", "er": "surplus"}
     want = {(t, side, posts.where(X.term_matches(text, t)).count()) for t, side in sides.items()}
     assert {tuple(r) for r in check.collect()} == {w for w in want if w[2]}
+
+
+def test_events_are_never_broadcast_whole(spark):
+    plan = D.posts(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
