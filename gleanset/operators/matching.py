@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanset.functions.text import any_term, find_matches, matching_batches, search_text
@@ -62,10 +62,20 @@ def batch_cross(
     The batch numbers are worked out per post where its text is read, so no join
     of posts and batches takes place; batches are tested only where a tool is found.
     """
-    text = search_text()
+    hits = batch_hits(search_text(), batches, tools, case_sensitive, whole_word)
+    return posts.withColumn("batch", F.explode(hits))
+
+
+def batch_hits(
+    text: Column,
+    batches: Sequence[Sequence[str]],
+    tools: Sequence[str],
+    case_sensitive: bool = False,
+    whole_word: bool = True,
+) -> Column:
+    """Numbers of the batches with a term in the text; null where it names no tool."""
     hits = matching_batches(text, batches, case_sensitive, whole_word)
-    with_tool = F.when(any_term(text, tools, case_sensitive, whole_word), hits)
-    return posts.withColumn("batch", F.explode(with_tool))
+    return F.when(any_term(text, tools, case_sensitive, whole_word), hits)
 
 
 def term_counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,6 +49,33 @@ def topn_per_batch(candidates: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def newest_ids(posts: DataFrame, hits: str, limit: int) -> DataFrame:
+    """Ids of all posts that may be among the newest ``limit`` of a batch; at most ``limit`` ids for each.
+
+    Judged by time and id alone, in levels as in :func:`topn_per_batch`; rows that tie in both all count.
+    """
+    if limit <= 0:
+        raise ValueError("search limit must be positive")
+    order = [F.desc("created_utc"), F.asc("post_id")]
+    keys = _by_batch(posts.select("post_id", "created_utc", hits), hits).drop(hits)
+    sliced = keys.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
+    within_slice = Window.partitionBy("batch", "_slice").orderBy(*order)
+    within_batch = Window.partitionBy("batch").orderBy(*order)
+    first_cut = sliced.withColumn("_rank", F.rank().over(within_slice)).where(F.col("_rank") <= limit)
+    newest = first_cut.withColumn("_rank", F.rank().over(within_batch)).where(F.col("_rank") <= limit)
+    return newest.select("post_id").distinct()
+
+
+def _by_batch(posts: DataFrame, hits: str) -> DataFrame:
+    """A row per post and batch.  A plain explode would be given a condition that works the hits out once more."""
+    return posts.withColumn("batch", F.explode_outer(hits)).where(F.col("batch").isNotNull())
+
+
+def _of_ids(posts: DataFrame, ids: DataFrame) -> DataFrame:
+    few = F.broadcast(ids.withColumnRenamed("post_id", "_wanted"))
+    return posts.join(few, F.col("post_id").eqNullSafe(F.col("_wanted")), "left_semi")
+
+
 def check_search(
     pains: Sequence[str],
     tools: Sequence[str],
@@ -75,15 +102,26 @@ def ranked_candidates(
     case_sensitive: bool = False,
     search_limit: int = V.SEARCH_LIMIT,
     whole_word: bool = True,
+    hits: str | None = None,
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Newest candidates per batch, with ``exact``: do the full vocabularies match?
 
     Candidates are found by whole words, or with ``whole_word=False`` also inside
     words, as a loose search service would; ``exact`` always means whole words.
+
+    ``hits`` names a column that tells each post's batches already, as ``batch_hits`` makes it
+    where texts are read.  The newest are then sought by time and id, and ``lookup`` brings the whole posts
+    of a few ``post_id``, by default a broadcast semi-join with the posts, so that no other text is moved.
     """
     pains = list(all_pains) if all_pains is not None else [t for b in batches for t in b]
-    # A service finds candidates without regard to case; the exact check may mind it.
-    found = batch_cross(posts, batches, tools, case_sensitive=False, whole_word=whole_word)
+    if hits is None:
+        # A service finds candidates without regard to case; the exact check may mind it.
+        found = batch_cross(posts, batches, tools, case_sensitive=False, whole_word=whole_word)
+    else:
+        ids = newest_ids(posts, hits, search_limit)
+        whole = _of_ids(posts, ids) if lookup is None else lookup(ids)
+        found = _by_batch(whole, hits).drop(hits)
     top = topn_per_batch(found, search_limit)
     text = search_text()
     exact = any_term(text, pains, case_sensitive) & any_term(text, tools, case_sensitive)
@@ -109,20 +147,31 @@ def global_candidates(
     search_limit: int = V.SEARCH_LIMIT,
     max_age_hours: float | None = 24,
     whole_word: bool = True,
+    hits: str | None = None,
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Top candidates of every batch with ``within`` (lookback) and ``exact`` marks."""
+    """Top candidates of every batch with ``within`` (lookback) and ``exact`` marks.
+
+    ``hits`` and ``lookup`` as for :func:`ranked_candidates`, for the same terms, batches and ``whole_word``.
+    Posts that ``lookup`` brings are held to the bound on age as well.
+    """
     if lookback_hours <= 0:
         raise ValueError("lookback hours must be positive")
     pain_terms, tool_terms = check_search(pains, tools, search_limit)
     batches = V.term_batches(pain_terms, batch_size)
-    recent = posts if max_age_hours is None else day_prefilter(posts, now, max_age_hours)
+
+    def young(some: DataFrame) -> DataFrame:
+        return some if max_age_hours is None else day_prefilter(some, now, max_age_hours)
+
     ranked = ranked_candidates(
-        recent,
+        young(posts),
         batches,
         tool_terms,
         case_sensitive=case_sensitive,
         search_limit=search_limit,
         whole_word=whole_word,
+        hits=hits,
+        lookup=None if lookup is None else lambda ids: young(lookup(ids)),
     )
     return ranked.withColumn("within", F.col("created_utc") >= cutoff_epoch(now, lookback_hours))
 

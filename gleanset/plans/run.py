@@ -66,7 +66,7 @@ def scan_streams(
     curated = found = None
     if stream in ("both", "curated"):
         curated = multi_scan(
-            posts,
+            posts.drop(settings.search_options.get("hits") or ""),
             settings.communities,
             settings.curated_hours,
             now,
