@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanset.functions import text as X
-from gleanset.operators import matching, search
+from gleanset.operators import dedup, matching, search
 from gleanset.plans import catalog
 from gleanset.sources import testdata as D
 
@@ -75,3 +75,22 @@ def test_streams_move_texts_of_candidates_only(spark, monkeypatch):
     _, want = catalog.R.collect_streams(posts, catalog.settings(), D.clock(spark, SF))
     shown = ["post_id", "batch", "rank", "matched_pain_keywords", "matched_tools", "text"]
     assert sorted(map(str, searched.select(shown).collect())) == sorted(map(str, want.select(shown).collect()))
+
+
+@pytest.mark.parametrize("most", [0, dedup.BROADCAST_ROWS])
+def test_bodies_of_new_rows_are_looked_up(spark, monkeypatch, most):
+    wanted = []
+    plain = D.posts
+
+    def seen(*args, **options):
+        wanted.append(options.get("ids"))
+        return plain(*args, **options)
+
+    monkeypatch.setattr(D, "posts", seen)
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", most)
+    _, fresh = catalog._stored_and_new(spark, SF, "sheets")
+    assert (wanted[-1] is not None) == bool(most)
+    stored = catalog.stored_keys(spark, SF)
+    want = dedup.ordered_dedup(catalog.all_rows(spark, SF), stored, ["created_utc", "id"])
+    assert fresh.columns == want.columns
+    assert sorted(map(str, fresh.collect())) == sorted(map(str, want.collect()))
