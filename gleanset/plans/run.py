@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanset import vocabulary as V
+from gleanset.functions.text import search_text
 from gleanset.operators.cleaning import clean_posts
 from gleanset.operators.dedup import known_keys, ordered_dedup
+from gleanset.operators.matching import batch_hits
 from gleanset.operators.reports import provenance, run_reports, run_result
 from gleanset.operators.search import accepted_posts, check_search, global_candidates
 from gleanset.operators.sets import SOURCE_ORDER, check_stream, source_order, stream_union
 from gleanset.plans.durable import durable
+from gleanset.schemas import BATCH_HITS
 from gleanset.sinks.stored import current_version, verified_append
 from gleanset.sources.curated import multi_scan
 from gleanset.sources.stored import backend_choice, snapshot_keys, snapshot_read
@@ -102,6 +105,20 @@ def collect_streams(
     return curated, searched_posts(found, settings)
 
 
+def by_hits(posts: DataFrame, settings: RunSettings) -> tuple[DataFrame, RunSettings]:
+    """Posts with the batches that their texts hit, and settings whose search goes by them.
+
+    The newest are then sought by time and id, and only their texts are read a second time.
+    """
+    options = settings.search_options
+    if not settings.search_enabled or options.get("hits") is not None:
+        return posts, settings
+    batches = V.term_batches(V.nonblank_terms(settings.pains), options.get("batch_size", V.BATCH_SIZE))
+    tools, whole_word = V.nonblank_terms(settings.tools), options.get("whole_word", True)
+    hits = batch_hits(search_text(), batches, tools, whole_word=whole_word)
+    return posts.withColumn(BATCH_HITS, hits), replace(settings, search_options=options | {"hits": BATCH_HITS})
+
+
 def new_rows(candidates: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Cleaned candidates that are new, with their source order columns."""
     cleaned = clean_posts(candidates, *SOURCE_ORDER)
@@ -119,6 +136,7 @@ def run_batch(
     stream: str = "both",
     backend: str = "csv",
     dry_run: bool = False,
+    stored_posts: bool = False,
 ) -> RunOutcome:
     """Run once against a store; repeating it with the same ``run`` changes nothing more.
 
@@ -126,15 +144,19 @@ def run_batch(
     the keys that it has added; the store itself is not read again.
 
     Every stream is computed once and kept in reliable storage, since the
-    counters, the de-duplication and the provenance all read it.
+    counters, the de-duplication and the provenance all read it.  ``stored_posts`` tells that the
+    posts are read from such storage already, with digests of their bodies at best: the curated stream, which
+    only chooses among them, is then not copied, and bodies are read of kept rows and searched texts alone.
     """
     check_stream(stream)
     backend = backend_choice(backend)
     base = current_version(spark, store)
     at = base.number if base.number >= 0 else None
     stored = snapshot_read(spark, store, backend, except_run=run, version=at)
+    if stored_posts:
+        posts, settings = by_hits(posts, settings)
     curated, found = scan_streams(posts, settings, now, stream)
-    curated = None if curated is None else durable(curated)
+    curated = curated if curated is None or stored_posts else durable(curated)
     # Candidates are bounded by the searches' limits; the reports count them, and the search goes on from them.
     found = None if found is None else durable(found)
     searched = None if found is None else durable(searched_posts(found, settings))

@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gleanset.functions.values import body_digest
 from gleanset.operators.cleaning import clean_posts
 from gleanset.operators.dedup import known_keys, ordered_dedup
 from gleanset.operators.sets import check_stream
 from gleanset.plans.durable import durable
 from gleanset.plans.run import RunSettings, run_batch
+from gleanset.schemas import BODY_DIGEST
 from gleanset.sinks.stored import current_version, verified_append
 from gleanset.sinks.versions import discard
 from gleanset.sources.curated import lookback_filter
@@ -31,21 +33,32 @@ def writer_name(store: str) -> str:
     return "append-" + hashlib.sha256(store.encode()).hexdigest()[:16]
 
 
+def _with_digests(posts: DataFrame) -> DataFrame:
+    """Posts with digests of their bodies; those that they bring are kept."""
+    digest = body_digest(F.coalesce("text", F.lit("")))
+    if BODY_DIGEST in posts.columns:
+        digest = F.coalesce(BODY_DIGEST, digest)
+    return posts.withColumn(BODY_DIGEST, digest)
+
+
 def lookback_window(batch: DataFrame, state: str, number: int, now: datetime, hours: float) -> DataFrame:
     """Posts of the micro-batch and of earlier ones that are not older than the lookback.
 
     They are kept as one folder per micro-batch, made of the folder before it, so the state is
     bounded by the posts of one lookback and a replayed micro-batch makes the same folder again.
+    Digests of the bodies are kept beside them, so that a run judges posts without reading
+    their bodies; a folder without digests, as older states have, gets them on the way.
     """
     spark = batch.sparkSession
-    recent = lookback_filter(batch, now, hours)
+    recent = _with_digests(lookback_filter(batch, now, hours))
+    schema = recent.schema
     if number:
-        earlier = spark.read.schema(batch.schema).parquet(f"{state}/batch={number - 1}")
-        recent = lookback_filter(earlier, now, hours).unionByName(recent)
-    recent.write.mode("overwrite").parquet(f"{state}/batch={number}")
+        earlier = spark.read.schema(schema).parquet(f"{state}/batch={number - 1}")
+        recent = _with_digests(lookback_filter(earlier, now, hours)).unionByName(recent)
+    recent.write.mode("overwrite").option("compression", "zstd").parquet(f"{state}/batch={number}")
     if number > 1:
         discard(spark, state, f"batch={number - 2}")
-    return spark.read.schema(batch.schema).parquet(f"{state}/batch={number}")
+    return spark.read.schema(schema).parquet(f"{state}/batch={number}")
 
 
 def incremental_append(
@@ -83,7 +96,9 @@ def incremental_append(
         at = now(number) if callable(now) else now
         hours = max(settings.curated_hours, settings.global_hours)
         window = lookback_window(batch, folder, number, at, hours)
-        run_batch(batch.sparkSession, window, store, run, settings, at, stream=stream, backend=backend)
+        run_batch(
+            batch.sparkSession, window, store, run, settings, at, stream=stream, backend=backend, stored_posts=True
+        )
 
     def take_all(batch: DataFrame, run: str) -> None:
         spark = batch.sparkSession
